@@ -6,11 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from framewright.llm.lookalike import canonical_form, same_look_pairs
+from framewright.llm.mixing import mix_plan, reached_shares, sample_mix
 from framewright.llm.nearest import nearest_within
 from framewright.llm.runs import collapse_runs
-from framewright.session import ms, table
+from framewright.llm.tokens import encode_corpus, token_counts, vocabulary
+from framewright.llm.truncation import find_truncated
+from framewright.llm.turns import attributed, speaker_turns
+from framewright.session import cut, ms, table
 
 HOUR_MS = 3_600_000
+CUT_FROM = 0.45
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +30,42 @@ def p1_forms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("ep_id", "id", canonical_form(F.col("raw_text")).alias("raw_form"), canonical_form(F.col("normalized_text")).alias("normalized_form"))
 
 
+def _transcripts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Speech segments with their drama, and the roster of each drama with every known form of a name."""
+    dramas = table(spark, sf_dir, "episode_result").filter("ep_id is not null").groupBy("ep_id").agg(F.max("drama").alias("g"))
+    seg = table(spark, sf_dir, "asr_segment").select("ep_id", "id", "text", F.col("hallucination_risk").alias("risky"), "words")
+    seg = seg.join(dramas, "ep_id", "left").withColumnRenamed("ep_id", "ep")
+    cast = table(spark, sf_dir, "cast_member")
+    forms = F.concat(F.array("canonical", "canonical_en"), F.coalesce("aliases", F.array()), F.coalesce("ocr_en_variants", F.array()))
+    return seg, cast.select(F.col("drama").alias("g"), "canonical", F.explode(forms).alias("variant"))
+
+
+def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Speaker turns of every episode."""
+    turns = speaker_turns(*_transcripts(spark, sf_dir))
+    return turns.select(F.col("ep").alias("ep_id"), F.col("first_id").cast("int").alias("first_id"), F.col("last_id").cast("int").alias("last_id"), "speaker")
+
+
+def p3_speech(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of speech with its person and its cleaned words, in order of (ep_id, id, piece_no)."""
+    return attributed(*_transcripts(spark, sf_dir)).select(F.col("ep").alias("ep_id"), "id", F.col("no").alias("piece_no"), "speaker", "words")
+
+
+def _scored_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_truncated(table(spark, sf_dir, "ad_copy"), "copy_id", "copy_source", ["primary_text", "headline", "description"])
+
+
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values of ad_copy that were cut short."""
+    return _scored_copy(spark, sf_dir).filter(F.col("probability") >= CUT_FROM).select("copy_id", "field_name")
+
+
+def p4_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Share of cut values per source and field."""
+    rated = _scored_copy(spark, sf_dir).groupBy("copy_source", "field_name")
+    return rated.agg(F.count(F.lit(1)).alias("n_values"), F.count_if(F.col("probability") >= CUT_FROM).alias("n_cut"), F.avg((F.col("probability") >= CUT_FROM).cast("double")).alias("cut_rate"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs of frames and of blocks that show one line."""
     frames = collapse_runs(table(spark, sf_dir, "ocr_frame"), "ep_id", "ordinal", "combined_text", score="avg_confidence")
@@ -52,6 +93,30 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("g").alias("ep_id"), F.col("id").alias("asr_id"), F.col("match").alias("block_no"))
 
 
+def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document by byte_bpe_50k, without special tokens."""
+    return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text", vocabulary("byte_bpe_50k"))
+
+
+def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    counted = cut(token_counts(table(spark, sf_dir, "documents"), "doc_id", "text", vocabulary("byte_bpe_50k"), ["source"]))
+    plan = mix_plan(counted, table(spark, sf_dir, "mix_target"))
+    return sample_mix(counted, plan, "doc_id"), plan
+
+
+def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The combined records: one row a use of a document, with its text."""
+    sampled, _ = _mix(spark, sf_dir)
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text").dropDuplicates(["doc_id"])
+    uses = sampled.join(texts, "doc_id")
+    return uses.select("doc_id", "source", "n_tokens", F.explode(F.sequence(F.lit(1), F.col("repeats"))).alias("use_no"), "text")
+
+
+def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and reached share of each source."""
+    return reached_shares(*_mix(spark, sf_dir))
+
+
 P7_SQL = """
 WITH a AS (SELECT DISTINCT ep_id, id, CAST(round(start_s * 1000) AS BIGINT) AS s, CAST(round(end_s * 1000) AS BIGINT) AS e FROM asr_segment),
 b AS (SELECT DISTINCT ep_id, block_no, CAST(round(start_s * 1000) AS BIGINT) AS s, CAST(round(end_s * 1000) AS BIGINT) AS e FROM ocr_block),
@@ -63,5 +128,5 @@ near AS (
 SELECT ep_id, asr_id, block_no FROM near WHERE r = 1
 """
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p5_found": p5_found, "p5_durations": p5_durations, "p7_found": p7_found}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p3_speech": p3_speech, "p4_found": p4_found, "p4_rates": p4_rates, "p5_found": p5_found, "p5_durations": p5_durations, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
 ORACLE_SQL = {"p7_found": P7_SQL}
