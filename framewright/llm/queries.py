@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from framewright.llm.language import label_documents, script_of_groups
 from framewright.llm.lookalike import canonical_form, same_look_pairs
 from framewright.llm.mixing import mix_plan, reached_shares, sample_mix
 from framewright.llm.nearest import nearest_within
@@ -81,6 +82,31 @@ def p5_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.select("ep_id", "first_no", "last_no", F.col("n_records").alias("n_frames"), F.col("first_at").alias("start_ms"), (F.col("last_at") - F.col("first_at")).alias("duration_ms"))
 
 
+def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
+    return label_documents(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
+
+
+def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with a missing or wrong label, all paragraphs of mixed documents, episodes with a wrong script."""
+    labelled, net = _labelled(spark, sf_dir)
+    label = F.lower(F.trim(F.coalesce("label", F.lit(""))))
+    wrong = F.when(F.col("para_no") == 0, ~F.col("mixed") & (label != F.col("found_lang"))).otherwise(F.lit(True))
+    docs = labelled.filter(F.col("found_lang").isNotNull() & wrong)
+    docs = docs.select(F.lit("document").alias("rec_kind"), F.col("doc_id").cast("string").alias("rec_id"), "para_no", "found_lang")
+
+    speech = table(spark, sf_dir, "asr_segment").select("ep_id", "text")
+    scripts = script_of_groups(speech, "ep_id", "text", net)
+    dominant = F.lower(F.trim(F.coalesce("dominant", F.lit(""))))
+    episodes = table(spark, sf_dir, "episode_result").select("ep_id", "dominant").dropDuplicates(["ep_id"]).join(scripts, "ep_id")
+    episodes = episodes.filter(dominant != F.col("script")).select(F.lit("episode").alias("rec_kind"), F.col("ep_id").alias("rec_id"), F.lit(0).alias("para_no"), F.col("script").alias("found_lang"))
+    return docs.unionByName(episodes)
+
+
+def p6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and confidence of every document (para_no 0) and of every paragraph of a mixed one."""
+    return _labelled(spark, sf_dir)[0].select("doc_id", "para_no", "found_lang", "confidence", "mixed", "label")
+
+
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The nearest block of each speech segment, middles at most 700 ms apart (times doubled to stay whole)."""
 
@@ -128,5 +154,5 @@ near AS (
 SELECT ep_id, asr_id, block_no FROM near WHERE r = 1
 """
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p3_speech": p3_speech, "p4_found": p4_found, "p4_rates": p4_rates, "p5_found": p5_found, "p5_durations": p5_durations, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p3_speech": p3_speech, "p4_found": p4_found, "p4_rates": p4_rates, "p5_found": p5_found, "p5_durations": p5_durations, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
 ORACLE_SQL = {"p7_found": P7_SQL}
