@@ -9,6 +9,7 @@ from framewright.llm.language import label_documents, script_of_groups
 from framewright.llm.lookalike import canonical_form, same_look_pairs
 from framewright.llm.mixing import mix_plan, reached_shares, sample_mix
 from framewright.llm.nearest import nearest_within
+from framewright.llm.reading import DEMANDING, grade_documents
 from framewright.llm.runs import collapse_runs
 from framewright.llm.tokens import encode_corpus, token_counts, vocabulary
 from framewright.llm.truncation import find_truncated
@@ -143,6 +144,22 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reached_shares(*_mix(spark, sf_dir))
 
 
+def _graded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "reading_label").select("doc_id", F.col("reading_level").alias("grade"))
+    return grade_documents(table(spark, sf_dir, "documents"), labels, "doc_id", "text", "source", "grade")[0]
+
+
+def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """English documents of demanding text."""
+    return _graded(spark, sf_dir).filter(F.col("english") & (F.col("level") >= DEMANDING)).select("doc_id")
+
+
+def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the levels spread in each source."""
+    g = _graded(spark, sf_dir).filter("level is not null").groupBy("source")
+    return g.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("level").alias("mean_level"), *[F.count_if(F.round("level").cast("int") == k).alias(f"n_level_{k}") for k in (1, 2, 3)])
+
+
 P7_SQL = """
 WITH a AS (SELECT DISTINCT ep_id, id, CAST(round(start_s * 1000) AS BIGINT) AS s, CAST(round(end_s * 1000) AS BIGINT) AS e FROM asr_segment),
 b AS (SELECT DISTINCT ep_id, block_no, CAST(round(start_s * 1000) AS BIGINT) AS s, CAST(round(end_s * 1000) AS BIGINT) AS e FROM ocr_block),
@@ -154,5 +171,5 @@ near AS (
 SELECT ep_id, asr_id, block_no FROM near WHERE r = 1
 """
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p3_speech": p3_speech, "p4_found": p4_found, "p4_rates": p4_rates, "p5_found": p5_found, "p5_durations": p5_durations, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p3_speech": p3_speech, "p4_found": p4_found, "p4_rates": p4_rates, "p5_found": p5_found, "p5_durations": p5_durations, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_profile": p10_profile}
 ORACLE_SQL = {"p7_found": P7_SQL}
