@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.operators.sharding import _null_safe_join, distinct_in_shard, fill_before, lead_over
+from framewright.session import cut
 
 SHARD_IDS = 2048
 # Hesitations, and titles that can stand before a family name.
@@ -150,7 +151,7 @@ def segment_pieces(segments: DataFrame) -> DataFrame:
 
 def attributed(segments: DataFrame, roster: DataFrame) -> DataFrame:
     """Pieces with speech and their speaker: (ep, shard, id, no, speaker, words)."""
-    pieces = segment_pieces(segments)
+    pieces = cut(segment_pieces(segments))  # read by both scans below
     known = resolve_labels(pieces.filter("label <> ''").select("g", "label"), roster)
     named = _null_safe_join(pieces, known, ["g", "label"])
     # An unresolved bracket was a sound; an unresolved name before a colon is part of the speech.
@@ -161,7 +162,7 @@ def attributed(segments: DataFrame, roster: DataFrame) -> DataFrame:
 
 def speaker_turns(segments: DataFrame, roster: DataFrame) -> DataFrame:
     """Columns ep, first_id, last_id, speaker: longest runs of speech by one person in order of id."""
-    spoken = attributed(segments, roster).filter("speaker is not null").drop("words")
+    spoken = cut(attributed(segments, roster).filter("speaker is not null").drop("words"))
     before = fill_before(spoken, ["ep"], "shard", ["id", "no"], F.struct("speaker", "id"), "prev")
     starts = before.filter(F.col("prev").isNull() | (F.col("prev.speaker") != F.col("speaker"))).select("ep", "shard", "id", "no", "speaker", F.col("prev.id").alias("prev_id"))
     linked = lead_over(starts, ["ep"], "shard", ["id", "no"], F.col("prev_id"), "last_id")
