@@ -37,6 +37,7 @@ MARGIN = 4.0  # tempered log odds from which a paragraph speaks clearly against
 
 _BREAK = re.compile(r"\n[^\S\n]*\n\s*")
 _CLUTTER = re.compile(r"\d{1,2}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?|-->|\[[A-Za-z]{1,4}[_ ]?\d+\]|(?m:^\s*\d+\s*$)|(?m:^\s*[A-Z][A-Z' _.-]{1,40}:)|(?m:^\s*[一-鿿]{1,5}[:：])|https?://\S+|\w+@\w+")
+_HINT = re.compile(r"[\d:：@]")
 _QUOTED = re.compile(r"[“\"«„][^“”\"«»„\n]{1,60}[”\"»“]|《[^《》\n]{1,40}》|「[^「」\n]{1,40}」|<[^<>]{0,40}>")
 _SENTENCE = re.compile(r"[^.!?。！？\n]+[.!?。！？]*\n?|\n|[.!?。！？]+")
 _LETTER = re.compile(r"[^\W\d_]")
@@ -50,7 +51,9 @@ def paragraphs(text: str) -> list[str]:
 
 def spoken(paragraph: str) -> str:
     """The paragraph without times, cue numbers, labels and quoted phrases (kept if nothing else is left)."""
-    t = _CLUTTER.sub(" ", paragraph)
+    t = _CLUTTER.sub(" ", paragraph) if _HINT.search(paragraph) else paragraph
+    if not _QUOTED.search(t):
+        return t
     bare = _QUOTED.sub(" ", t)
     return bare if len(_LETTER.findall(bare)) >= 8 else t
 

@@ -11,6 +11,8 @@ any grade every level is null; an empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
+import math
 import re
 from collections.abc import Iterator
 
@@ -43,64 +45,106 @@ _LANG = {name: frozenset(words) for name, words in FUNCTION_WORDS.items()}
 _EN = _LANG["en"]
 
 
-def is_english(text: str) -> bool:
+_FOREIGN = re.compile("[⺀-鿿가-힣\u0400-\u04ff豈-﫿]")
+_OWNER: dict[str, tuple[int, ...]] = {}
+for _i, _k in enumerate(_LANG):
+    for _w in _LANG[_k]:
+        _OWNER[_w] = (*_OWNER.get(_w, ()), _i)
+
+
+def _english_words(words: list[str]) -> bool:
+    """Whether function words let a passage pass as English."""
+    hits = [0] * len(_LANG)
+    for w in words:
+        for i in _OWNER.get(w, ()):
+            hits[i] += 1
+    en, other = hits[0], max(hits[1:])
+    if other <= en and other < 2:
+        return True
+    accents = sum(not w.isascii() for w in words)
+    room = 1 if len(words) < 14 and accents <= 1 else 0  # one shared form in a short line says little
+    return not (other > en + room or other >= en and accents > 0.08 * len(words) and (len(words) >= 14 or other >= 2))
+
+
+def spoken_parts(text: str) -> list[str]:
+    return [spoken(p) for p in paragraphs(text)]
+
+
+def is_english(text: str, parts: list[str] | None = None) -> bool:
     """Whether every paragraph with enough words reads as English by its function words and script."""
-    parts = [spoken(p) for p in paragraphs(text)]
-    seen = 0
-    for group in (parts, [" ".join(parts)]):
-        for p in group:
-            letters = sum(c.isalpha() for c in p)
-            foreign = sum("⺀" <= c <= "鿿" or "぀" <= c <= "ヿ" or "가" <= c <= "힣" or "Ѐ" <= c <= "ӿ" for c in p)
-            if foreign > 0.15 * max(1, letters) and foreign >= 4:
+    parts = spoken_parts(text) if parts is None else parts
+    whole = "\n".join(parts)
+    foreign = bool(_FOREIGN.search(whole))
+    every: list[str] = []
+    for p in parts:
+        if foreign:
+            n = len(_FOREIGN.findall(p))
+            if n >= 4 and n > 0.15 * sum(c.isalpha() for c in p):
                 return False
-            words = [w.lower() for w in _WORD.findall(p)]
-            if len(words) < 5:
-                continue
-            seen += 1
-            hits = {k: sum(w in s for w in words) for k, s in _LANG.items()}
-            other = max((v, k) for k, v in hits.items() if k != "en")
-            accents = sum(not w.isascii() for w in words)
-            room = 1 if len(words) < 14 and accents <= 1 else 0  # one shared form in a short line says little
-            if other[0] > hits["en"] + room or other[0] >= hits["en"] and accents > 0.08 * len(words) and (len(words) >= 14 or other[0] >= 2):
-                return False
-    return seen > 0 or bool(_WORD.search(text))
+        words = [w.lower() for w in _WORD.findall(p)]
+        every += words
+        if len(words) >= 5 and not _english_words(words):
+            return False
+    return bool(every) and (len(every) < 5 or _english_words(every))
 
 
 def _syllables(word: str) -> int:
     return max(1, len(_VOWELS.findall(word)) - (word.endswith("e") and not word.endswith("le")))
 
 
-def measures(text: str) -> np.ndarray:
+def _at(values: list, *places: float) -> list[float]:
+    """Values at shares of the sorted list."""
+    v = sorted(values)
+    return [float(v[int(p * (len(v) - 1) + 0.5)]) for p in places]
+
+
+def _spread(values: list, mean: float) -> float:
+    return (sum((x - mean) ** 2 for x in values) / len(values)) ** 0.5
+
+
+_NOUNS = ("tion", "sion", "ment", "ness", "ity", "ance", "ence", "ism", "acy")
+_BE, _PERSON, _LINK = frozenset("be were was is been are".split()), frozenset("i you he she we they me my".split()), frozenset("of to by upon whose whom that which".split())
+
+
+@functools.lru_cache(maxsize=200_000)
+def _facts(w: str) -> tuple:
+    """What the measures ask of a word, once a worker for each frequent word."""
+    return (len(w), _syllables(w), w not in _EN, w in CONNECTIVES, w in COORDINATORS, w.endswith(_NOUNS), w.endswith("ly"), w.endswith("ing"), w.endswith("ed"), w in _BE, w in _PERSON, w in _LINK)
+
+
+def measures(text: str, parts: list[str] | None = None) -> np.ndarray:
     """Length, vocabulary, syntax and cohesion of a text."""
-    body = "\n".join(spoken(p) for p in paragraphs(text))
-    sentences = [w for s in _END.split(body) if s and (w := [x.lower() for x in _WORD.findall(s)])]
+    body = "\n".join(spoken_parts(text) if parts is None else parts)
+    sentences, commas = [], []
+    for s in _END.split(body):
+        w = [x.lower() for x in _WORD.findall(s)] if s else []
+        if w:
+            sentences.append(w)
+            commas.append(s.count(",") + s.count(";") + s.count(":"))
     if not sentences:
         return np.zeros(N_MEASURES)
-    words = [w for s in sentences for w in s]
-    n = len(words)
-    content = [w for w in words if w not in _EN]
-    size = np.array([len(s) for s in sentences], dtype=float)
-    letters = np.array([len(w) for w in words], dtype=float)
-    own = np.array([len(w) for w in content] or [0], dtype=float)
-    syllables = np.array([_syllables(w) for w in words], dtype=float)
-    heavy = np.array([np.mean([len(w) >= 8 for w in s]) for s in sentences])
-    commas = np.array([s.count(",") + s.count(";") + s.count(":") for s in _END.split(body) if s and _WORD.search(s)], dtype=float)[: len(size)]
-    bonds = sum(w in CONNECTIVES for w in words)
-    joins = sum(w in COORDINATORS for w in words)
-    sets = [frozenset(w for w in s if w not in _EN) for s in sentences]
+    facts = [[_facts(w) for w in s] for s in sentences]
+    flat = [f for s in facts for f in s]
+    n, k = len(flat), len(sentences)
+    size = [len(s) for s in sentences]
+    letters = [f[0] for f in flat]
+    own = [f[0] for f in flat if f[2]] or [0]
+    heavy = [sum(f[0] >= 8 for f in s) / len(s) for s in facts]
+    t = [sum(f[i] for f in flat) for i in range(1, 12)]
+    syllables, content, bonds, joins = t[0] / n, t[1], t[2], t[3]
+    sets = [frozenset(w for w, f in zip(s, fs) if f[2]) for s, fs in zip(sentences, facts)]
     overlap = [len(a & b) / max(1, min(len(a), len(b))) for a, b in zip(sets, sets[1:])] or [0.0]
-    q = lambda x, *at: list(np.quantile(x, at))
-    types, bases = len(set(words)), len(set(content))
-    first = len({s[0] for s in sentences})
+    types = {w for s in sentences for w in s}
+    bases = set().union(*sets)
+    mean, mean_letters = n / k, sum(letters) / n
     return np.array([
-        *q(size, 0.1, 0.5, 0.9), size.mean(), size.std(), np.log1p(len(sentences)), np.log1p(n),
-        letters.mean(), letters.std(), *q(own, 0.5, 0.75, 0.9), own.mean(), syllables.mean(), np.mean(syllables >= 3), np.mean(syllables >= 4), np.mean(letters >= 8), np.mean(letters >= 11), np.mean(letters <= 3),
-        *q(heavy, 0.1, 0.5, 0.9), np.mean([len(s) > 20 for s in sentences]), np.mean(heavy > 0.25), np.average(heavy > 0.25, weights=size),
-        types / n, bases / max(1, len(content)), len(content) / n, sum(w not in _EN for w in set(words)) / max(1, types),
-        commas.sum() / n * 10, commas.mean(), bonds / n * 10, joins / n * 10, bonds / len(sentences), joins / len(sentences),
-        sum(w.endswith(("tion", "sion", "ment", "ness", "ity", "ance", "ence", "ism", "acy")) for w in words) / n * 10, sum(w.endswith("ly") for w in words) / n * 10, sum(w.endswith("ing") for w in words) / n * 10, sum(w.endswith("ed") for w in words) / n * 10,
-        sum(w in ("be", "were", "was", "is", "been", "are") for w in words) / n * 10, sum(w in ("i", "you", "he", "she", "we", "they", "me", "my") for w in words) / n * 10, sum(w in ("of", "to", "by", "upon", "whose", "whom", "that", "which") for w in words) / n * 10,
-        float(np.mean(overlap)), first / len(sentences), 0.39 * size.mean() + 11.8 * syllables.mean() - 15.59,
+        *_at(size, 0.1, 0.5, 0.9), mean, _spread(size, mean), math.log1p(k), math.log1p(n),
+        mean_letters, _spread(letters, mean_letters), *_at(own, 0.5, 0.75, 0.9), sum(own) / len(own), syllables, sum(f[1] >= 3 for f in flat) / n, sum(f[1] >= 4 for f in flat) / n, sum(x >= 8 for x in letters) / n, sum(x >= 11 for x in letters) / n, sum(x <= 3 for x in letters) / n,
+        *_at(heavy, 0.1, 0.5, 0.9), sum(x > 20 for x in size) / k, sum(h > 0.25 for h in heavy) / k, sum(x for x, h in zip(size, heavy) if h > 0.25) / n,
+        len(types) / n, len(bases) / max(1, content), content / n, len(bases) / max(1, len(types)),
+        sum(commas) / n * 10, sum(commas) / k, bonds / n * 10, joins / n * 10, bonds / k, joins / k,
+        *(x / n * 10 for x in t[4:]),
+        sum(overlap) / len(overlap), len({s[0] for s in sentences}) / k, 0.39 * mean + 11.8 * syllables - 15.59,
     ])
 
 
@@ -135,11 +179,12 @@ def grade_documents(docs: DataFrame, labels: DataFrame, key: str, text: str, sou
     def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
         for b in batches:
-            ok = [isinstance(t, str) and bool(t.strip()) and is_english(t) for t in b["text"]]
+            parts = [spoken_parts(t) if isinstance(t, str) else [] for t in b["text"]]
+            ok = [bool(p) and is_english("", p) for p in parts]
             level = np.full(len(b), np.nan)
             at = np.flatnonzero(ok)
             if m is not None and len(at):
-                raw = boosting.predict(m, np.array([measures(t) for t in b["text"].to_numpy()[at]]))
+                raw = boosting.predict(m, np.array([measures("", parts[i]) for i in at]))
                 # Between calibrated levels the raw score keeps documents apart.
                 level[at] = np.clip(0.5 * np.interp(raw, m["knots"], m["levels"]) + 0.5 * raw, 1, 3)
             yield pd.DataFrame({"k": b["k"], "src": b["src"], "english": ok, "level": [None if np.isnan(v) else float(v) for v in level]})
