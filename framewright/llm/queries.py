@@ -17,7 +17,7 @@ from framewright.llm.turns import attributed, speaker_turns
 from framewright.session import cut, ms, table
 
 HOUR_MS = 3_600_000
-CUT_FROM = 0.4
+CUT_FROM = 0.3
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
