@@ -123,7 +123,7 @@ def pack(windows: list[bytes]) -> np.ndarray:
 
 
 def train(windows: list[bytes], labels: np.ndarray, classes: int, hidden: int, batches: int, batch: int = 256, seed: int = 3, rate: float = 0.02) -> dict[str, np.ndarray]:
-    """Adam over class-balanced batches; after a quarter of them, windows that contradict their label strongly are left out."""
+    """Adam; after a quarter of the batches, windows that contradict their label strongly are left out. The last third is averaged."""
     rnd = np.random.default_rng(seed)
     p = init(hidden, classes, seed)
     m = {k: np.zeros_like(v) for k, v in p.items()}
@@ -132,8 +132,14 @@ def train(windows: list[bytes], labels: np.ndarray, classes: int, hidden: int, b
     present = [c for c in range(classes) if len(of[c])]
     if not present:
         return p
+    # Classes in proportion to the root of their size: the varied ones get more, the rare ones enough.
+    share = np.sqrt([len(of[c]) for c in present])
+    share = np.maximum(share / share.sum(), 0.4 / len(present))
+    each = np.maximum(1, (batch * share / share.sum()).astype(int))
+    mean = {k: np.zeros_like(x, dtype=np.float64) for k, x in p.items()}
+    averaged = 0
     for step in range(1, batches + 1):
-        rows = np.concatenate([rnd.choice(of[c], batch // len(present)) for c in present])
+        rows = np.concatenate([rnd.choice(of[c], n) for c, n in zip(present, each)])
         x, y = pack([windows[i] for i in rows]), labels[rows]
         weight = None
         if step > batches // 4:
@@ -149,7 +155,11 @@ def train(windows: list[bytes], labels: np.ndarray, classes: int, hidden: int, b
             m[k] = 0.9 * m[k] + 0.1 * g
             v[k] = 0.99 * v[k] + 0.01 * g * g
             p[k] = (p[k] - lr * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-7)).astype(np.float32)
-    return p
+        if step > batches * 2 // 3:
+            averaged += 1
+            for k in p:
+                mean[k] += p[k]
+    return {k: (mean[k] / averaged).astype(np.float32) for k in p} if averaged else p
 
 
 def _infer(x: np.ndarray, p: dict, d: str) -> np.ndarray:

@@ -27,12 +27,13 @@ from framewright.llm.sampling import bounded_sample
 LANGUAGES = ("en", "zh", "es", "pt", "fr", "de")
 WINDOW = 96
 HIDDEN = 14
-BATCHES = 200
+BATCHES = 220
 TRAIN_WINDOW = 48
 SAMPLE = 5_000  # documents the network is trained on, about; twice that at most
-PER_CLASS = 5_000  # windows a language
+PER_CLASS = 8_000  # windows a language
 SHARPNESS = 6.0  # neighbouring positions agree, so their log probabilities are tempered
-MIXED_BYTES = 36  # letters' bytes from which a paragraph can speak against its document
+PER_BYTE = 1.0  # and log odds per byte of its letters
+MIXED_BYTES = 40  # letters' bytes from which a paragraph can speak against its document
 MARGIN = 4.0  # tempered log odds from which a paragraph speaks clearly against its document
 
 _BREAK = re.compile(r"\n[^\S\n]*\n\s*")
@@ -69,24 +70,30 @@ def windows(text: str, size: int = WINDOW) -> list[bytes]:
 
 
 def train_network(sample: pd.DataFrame, languages: tuple[str, ...] = LANGUAGES, seed: int = 11) -> dict[str, np.ndarray]:
-    """Train on the labelled texts of ``sample`` (text, lang)."""
-    rnd = np.random.default_rng(seed)
-    pool: dict[int, list[bytes]] = {c: [] for c in range(len(languages))}
-    for text, lang in sample.sort_values("k", kind="stable")[["text", "lang"]].itertuples(index=False):
-        if lang in languages and isinstance(text, str):
-            ws = [w for p in paragraphs(text) for w in windows(spoken(p), TRAIN_WINDOW)]
-            take = rnd.permutation(len(ws))[:24]
-            pool[languages.index(lang)] += [ws[i] for i in take]
-    # A sentence found under several labels counts for the label that has most of it, and at most three times.
-    counts = {c: Counter(ws) for c, ws in pool.items()}
-    total = sum(counts.values(), Counter())
-    xs, ys = [], []
-    for c, own in counts.items():
-        ws = [w for w, n in own.items() if n >= 0.6 * total[w] for _ in range(min(n, 3))]
-        pick = rnd.permutation(len(ws))[:PER_CLASS]
-        xs += [ws[i] if rnd.random() < 0.6 else ws[i][: int(rnd.integers(12, TRAIN_WINDOW))] for i in pick]
-        ys += [c] * len(pick)
-    return gru.train(xs, np.array(ys, dtype=int), len(languages), HIDDEN, BATCHES)
+    """Train on the labelled texts of ``sample`` (k, text, lang), then again without the documents that the first network contradicts."""
+    docs = [(languages.index(lang), paragraphs(text)) for text, lang in sample.sort_values("k", kind="stable")[["text", "lang"]].itertuples(index=False) if lang in languages and isinstance(text, str)]
+
+    def fitted(use: list[tuple[int, list[str]]], batches: int) -> dict[str, np.ndarray]:
+        rnd = np.random.default_rng(seed)
+        pool: dict[int, list[bytes]] = {c: [] for c in range(len(languages))}
+        for c, parts in use:
+            ws = [w for p in parts for w in windows(spoken(p), TRAIN_WINDOW)]
+            pool[c] += [ws[i] for i in rnd.permutation(len(ws))[:24]]
+        # A sentence found under several labels counts for the label that has most of it, and at most three times.
+        counts = {c: Counter(ws) for c, ws in pool.items()}
+        total = sum(counts.values(), Counter())
+        xs, ys = [], []
+        for c, own in counts.items():
+            ws = [w for w, n in own.items() if n >= 0.6 * total[w] for _ in range(min(n, 3))]
+            pick = rnd.permutation(len(ws))[:PER_CLASS]
+            xs += [ws[i] if rnd.random() < 0.6 else ws[i][: int(rnd.integers(12, TRAIN_WINDOW))] for i in pick]
+            ys += [c] * len(pick)
+        return gru.train(xs, np.array(ys, dtype=int), len(languages), HIDDEN, batches)
+
+    first = fitted(docs, BATCHES // 2)
+    heads = score_texts([["\n".join(spoken(p) for p in parts)[:600]] for _, parts in docs], first)
+    kept = [d for d, s in zip(docs, heads) if int(s[0].argmax()) == d[0]]
+    return fitted(kept or docs, BATCHES)
 
 
 def score_texts(texts: list[list[str]], net: dict[str, np.ndarray]) -> list[np.ndarray]:
@@ -101,7 +108,12 @@ def score_texts(texts: list[list[str]], net: dict[str, np.ndarray]) -> list[np.n
 
 
 def letter_bytes(part: str) -> int:
-    return len("".join(_LETTER.findall(spoken(part))).encode("utf-8", "replace"))
+    """Bytes of the letters of a part; a single Latin sentence counts for less, as close languages share whole sentences' spelling."""
+    t = spoken(part)
+    letters = "".join(_LETTER.findall(t))
+    n = len(letters.encode("utf-8", "replace"))
+    alone = n < 2 * len(letters) and sum(1 for s in _SENTENCE.findall(t) if _LETTER.search(s)) < 2
+    return int(0.4 * n) if alone else n
 
 
 def _soft(s: np.ndarray) -> np.ndarray:
@@ -117,7 +129,9 @@ def judge(parts: np.ndarray, sizes: list[int] | None = None) -> tuple[int, float
     whole = parts[live].sum(axis=0)
     main = int(whole.argmax())
     enough = [True] * len(parts) if sizes is None else [n >= MIXED_BYTES for n in sizes]
-    against = {i: int(parts[i].argmax()) for i in live if enough[i] and (parts[i].max() - parts[i, main]) / SHARPNESS >= MARGIN}
+    lead = parts.max(axis=1) - parts[:, main]
+    per_byte = lead / np.maximum(1, sizes if sizes is not None else 1)
+    against = {i: int(parts[i].argmax()) for i in live if enough[i] and lead[i] / SHARPNESS >= MARGIN and per_byte[i] >= PER_BYTE}
     mixed = bool(against)
     if not mixed:
         c = float(_soft(whole)[main])
