@@ -97,7 +97,7 @@ def join_07_asof_snap(spark, sf):
 @query(f"""WITH {b.ASR}, {b.BLK}, z AS (SELECT ep_id, block_no, end_ms, lead(start_ms) OVER (PARTITION BY ep_id ORDER BY block_no) AS n FROM blk WHERE start_ms IS NOT NULL AND end_ms IS NOT NULL),
 a AS (SELECT ep_id, block_no, end_ms AS s, n AS e FROM z WHERE n > end_ms)
 SELECT a.ep_id, a.block_no, count(asr.id) AS n_speech FROM a LEFT JOIN asr ON a.ep_id = asr.ep_id AND asr.start_ms < a.e AND a.s < asr.end_ms AND asr.end_ms > asr.start_ms GROUP BY 1, 2""")
-def join_08_speech_between_blocks(spark, sf):
+def join_05b_speech_between_blocks(spark, sf):
     ok = b.blocks(spark, sf).filter("start_ms is not null and end_ms is not null")
     gaps = sq.following(ok, ["ep_id"], "block_no", F.col("start_ms"), "g_e").filter(F.col("g_e") > F.col("end_ms")).select("ep_id", "block_no", F.col("end_ms").alias("g_s"), "g_e")
     a = b.asr(spark, sf).select("ep_id", F.col("start_ms").alias("a_s"), F.col("end_ms").alias("a_e"))
@@ -105,6 +105,24 @@ def join_08_speech_between_blocks(spark, sf):
     return gaps.select("ep_id", "block_no").join(met, ["ep_id", "block_no"], "left").fillna({"n_speech": 0})
 
 
+_LAST = f"""WITH {b.ASR}, {b.BLK}, m AS (SELECT ep_id, end_ms // 60000 AS clip_no, arg_max(block_no, (end_ms, block_no)) AS block_no, max(end_ms) AS hook_ms FROM blk WHERE end_ms IS NOT NULL GROUP BY 1, 2),
+sp AS (SELECT ep_id, id, start_ms AS s, end_ms AS e FROM asr WHERE start_ms IS NOT NULL AND end_ms >= start_ms),
+i AS (SELECT p.ep_id, p.clip_no, arg_min(s.e, (s.s, s.id)) AS in_end FROM m p JOIN sp s ON p.ep_id = s.ep_id AND s.s <= p.hook_ms AND p.hook_ms <= s.e + 100 GROUP BY 1, 2),
+l AS (SELECT p.ep_id, p.clip_no, arg_max(s.e, (s.s, s.id)) AS last_end FROM m p JOIN sp s ON p.ep_id = s.ep_id AND s.s <= p.hook_ms + 100 GROUP BY 1, 2)"""
+
+
+@query(f"""{_LAST} SELECT m.ep_id, m.clip_no, m.block_no, CASE WHEN (m.clip_no + 1) * 60000 - m.hook_ms >= 2000 THEN coalesce(i.in_end, l.last_end, m.hook_ms) ELSE m.hook_ms END AS end_ms
+FROM m LEFT JOIN i ON m.ep_id = i.ep_id AND m.clip_no = i.clip_no LEFT JOIN l ON m.ep_id = l.ep_id AND m.clip_no = l.clip_no""")
+def join_08_hook_end(spark, sf):
+    """Last block of each minute; if two seconds of it remain, its end snaps to the speech as of then."""
+    blk = b.blocks(spark, sf).filter("end_ms is not null").withColumn("clip_no", F.expr("end_ms div 60000"))
+    last = blk.groupBy("ep_id", "clip_no").agg(F.max_by("block_no", F.struct("end_ms", "block_no")).alias("block_no"), F.max("end_ms").alias("hook_ms"))
+    spans = b.asr(spark, sf).filter("start_ms is not null and end_ms >= start_ms").select("ep_id", F.col("id").alias("pos"), F.col("start_ms").alias("s"), F.col("end_ms").alias("e"))
+    snapped = tp.asof_end(last.select("ep_id", F.col("clip_no").alias("pid"), F.col("hook_ms").alias("ts")), spans, ["ep_id"]).withColumnRenamed("pid", "clip_no")
+    end = F.when((F.col("clip_no") + 1) * 60_000 - F.col("hook_ms") >= 2000, F.coalesce("snapped_ms", "hook_ms")).otherwise(F.col("hook_ms"))
+    return last.join(snapped, ["ep_id", "clip_no"]).select("ep_id", "clip_no", "block_no", end.alias("end_ms"))
+
+
 @query(f"""WITH {b.ASR}, {b.SEG} SELECT o.ep_id, o.id AS window_id, a.id, a.start_ms - o.start_ms AS start_ms, least(a.end_ms, o.end_ms) - o.start_ms AS end_ms
 FROM seg o JOIN asr a ON o.ep_id = a.ep_id AND a.start_ms >= o.start_ms AND a.start_ms < o.end_ms WHERE least(a.end_ms, o.end_ms) > a.start_ms""")
 def join_09_window_clip(spark, sf):

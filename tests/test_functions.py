@@ -43,3 +43,12 @@ def test_json():
 def test_text(spark):
     assert one(spark, tx.normalise_line(F.lit("<i>A  b</i> ♪ C")), tx.natural_key(F.lit("Ep2b10"), 3), tx.clean_field(F.lit(" a\nb c "), 4), tx.file_name(F.lit("a/b: c")), tx.script_ratio(F.lit("ab你好"))) == ("a b c", "ep002b010", "a b", "a_b_ c", 0.5)
     assert one(spark, tx.strip_fence(F.lit("```srt\nx\n```")), tx.drop_trailing_commas(F.lit("[1,]")), tx.human_count(F.lit(1500)), tx.fits_screen(F.lit("x" * 41))) == ("x", "[1]", "1.5K", False)
+
+
+def test_sql_functions(spark):
+    from framewright.functions.sql import register
+
+    register(spark)
+    spark.createDataFrame([(1, "1\n00:00:01,000 --> 00:00:02,000\na\nb\n\n2\nbroken"), (2, None)], "d int, t string").createOrReplaceTempView("subs")
+    assert [tuple(r) for r in spark.sql("SELECT d, b.* FROM subs, LATERAL srt_blocks(t) b").collect()] == [(1, 0, "00:00:01,000", "00:00:02,000", "a\nb")]
+    assert spark.sql("SELECT text_ratio('cacabb', 'cabaca') r, text_ratio('cabaca', 'cacabb') s, text_ratio('', '') z").first()[:] == (0.6666666666666666, 0.5, 1.0)
