@@ -60,7 +60,7 @@ def mix_plan(counted: DataFrame, targets: DataFrame, total: float | None = None)
 def sample_mix(counted: DataFrame, plan: DataFrame, key: str, seed: int = 17) -> DataFrame:
     """Rows ``key``, source, n_tokens, repeats (at least 1): how often each document is used."""
     fraction = plan.filter("size > 0 and wanted > 0").select("source", F.floor(F.col("wanted") / F.col("size")).cast("int").alias("whole"), (F.col("wanted") - F.floor(F.col("wanted") / F.col("size")) * F.col("size")).alias("extra"))
-    docs = counted.join(F.broadcast(fraction), "source")  # one row a source, at most 10,000
+    docs = counted.filter(F.col(key).isNotNull()).join(F.broadcast(fraction), "source")  # one row a source, at most 10,000
     docs = docs.withColumn("h", F.xxhash64(F.col(key), F.lit(seed))).withColumn("bin", F.pmod("h", F.lit(BINS)).cast("int"))
     bins = docs.groupBy("source", "bin").agg(F.sum("n_tokens").alias("bin_size"), F.first("extra").alias("x"))
     upto = bins.withColumn("before", F.coalesce(F.sum("bin_size").over(Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
