@@ -7,7 +7,7 @@ paragraphs speaks clearly against the language of the whole.
 
 Defined cases: null, empty and blank texts, and texts without letters, have a null language and confidence 0; labels
 outside ``languages`` and null labels don't train; paragraphs are numbered from 1 after leading blank lines; every byte
-of a long text is scored; repeated keys are one document; an empty table gives no rows.
+of a long text is scored; repeated keys are one document, a null key takes no part; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from framewright.llm import gru
 from framewright.llm.sampling import bounded_sample
+from framewright.operators.dedup import one_per_key
 
 LANGUAGES = ("en", "zh", "es", "pt", "fr", "de")
 WINDOW = 96
@@ -151,7 +152,7 @@ def judge(parts: np.ndarray, sizes: list[int] | None = None) -> tuple[int, float
 def label_documents(docs: DataFrame, key: str, text: str, lang: str, languages: tuple[str, ...] = LANGUAGES, sample: int = SAMPLE) -> tuple[DataFrame, dict]:
     """Rows ``key``, para_no (0: the document), found_lang, confidence, mixed, label; and the network."""
     kind = dict(docs.dtypes)[key]
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text"), F.col(lang).alias("lang"))
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text"), F.col(lang).alias("lang")).filter("k is not null")
     learn = bounded_sample(rows.filter(F.col("lang").isin(*languages) & F.col("text").isNotNull()), ["k"], sample).dropDuplicates(["k"]).toPandas()
     net = train_network(learn, languages)
     shared = docs.sparkSession.sparkContext.broadcast(net)  # about 257 * 3 * HIDDEN * 2 floats
@@ -168,7 +169,7 @@ def label_documents(docs: DataFrame, key: str, text: str, lang: str, languages:
                     out += [(k, i, name(c), p, True, given) for i, (c, p) in enumerate(each, 1)]
             yield pd.DataFrame(out, columns=["k", "para_no", "found_lang", "confidence", "mixed", "label"])
 
-    done = rows.dropDuplicates(["k"]).mapInPandas(label, f"k {kind}, para_no int, found_lang string, confidence double, mixed boolean, label string")
+    done = one_per_key(rows, ["k"]).mapInPandas(label, f"k {kind}, para_no int, found_lang string, confidence double, mixed boolean, label string")
     return done.withColumnRenamed("k", key), net
 
 

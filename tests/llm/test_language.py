@@ -60,7 +60,7 @@ def texts(n, seed):
 def test_held_out(spark):
     data = texts(400, 1)
     rows = [(k, t, lang if k % 10 else (None, "", "und", "es")[k // 10 % 4], "x") for k, (lang, t) in enumerate(data)]
-    rows += [(900, data[0][1] * 3 + "\n\n" + data[1][1] * 3, "en", "x"), (901, None, "en", "x"), (902, " \n ", None, "x"), (903, "12:30 --- 77", "en", "x"), (904, data[2][1] * 2000, None, "x"), rows[0]]
+    rows += [(900, data[0][1] * 3 + "\n\n" + data[1][1] * 3, "en", "x"), (901, None, "en", "x"), (902, " \n ", None, "x"), (903, "12:30 --- 77", "en", "x"), (904, data[2][1] * 2000, None, "x"), (None, "no key here", "en", "x"), rows[0]]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, k string")
     got, net = label_documents(df, "doc_id", "text", "lang", languages=("en", "es", "de", "zh"))
     got = {(r.doc_id, r.para_no): r for r in got.collect()}
