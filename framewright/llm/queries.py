@@ -14,6 +14,7 @@ from framewright.llm.runs import collapse_runs
 from framewright.llm.tokens import encode_corpus, token_counts, vocabulary
 from framewright.llm.truncation import find_truncated
 from framewright.llm.turns import attributed, speaker_turns
+from framewright.operators.dedup import one_per_key
 from framewright.session import cut, ms, table
 
 HOUR_MS = 3_600_000
@@ -134,7 +135,7 @@ def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
 def p9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The combined records: one row a use of a document, with its text."""
     sampled, _ = _mix(spark, sf_dir)
-    texts = table(spark, sf_dir, "documents").select("doc_id", "text").dropDuplicates(["doc_id"])
+    texts = one_per_key(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
     uses = sampled.join(texts, "doc_id")
     return uses.select("doc_id", "source", "n_tokens", F.explode(F.sequence(F.lit(1), F.col("repeats"))).alias("use_no"), "text")
 

@@ -5,9 +5,8 @@ pre-tokenised on its own, neighbours are stitched at a place where both see a pr
 agree), and the pieces between stitches are encoded in parallel and put together by position. If an overlap holds no
 common border, the two chunks become one piece. Decoding concatenates the tokens' raw bytes.
 
-Defined cases: a null text has ids null in ``encode_null='null'`` or, by default, an empty list; an empty text has an
-empty list; blank text is encoded as it is; special-token strings are ordinary text; lone surrogates are replaced as
-UTF-8 replacement characters; repeated keys are one document; very long texts are encoded whole.
+Defined cases: null and empty texts have an empty list; blank text is encoded as it is; special-token strings are ordinary text; lone surrogates are replaced as
+UTF-8 replacement characters; repeated keys are one document, a null key takes no part; very long texts are encoded whole.
 """
 
 from __future__ import annotations
@@ -22,6 +21,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from framewright.operators.dedup import one_per_key
+
 TOKENIZER_DIR = os.environ.get("FRAMEWRIGHT_TOKENIZERS", "/opt/tokenizers")
 CHUNK_CHARS = 200_000
 OVERLAP_CHARS = 2_000
@@ -99,7 +100,7 @@ def stitch(heads: list[list[int]], tails: list[list[int]], sures: list[list[int]
 def encode_corpus(docs: DataFrame, key: str, text: str, path: str, chunk_chars: int = CHUNK_CHARS, overlap: int = OVERLAP_CHARS) -> DataFrame:
     """Columns ``key`` and ids (ARRAY<INT>), one row a document."""
     kind = dict(docs.dtypes)[key]
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("t")).dropDuplicates(["k"])
+    rows = one_per_key(docs.select(F.col(key).alias("k"), F.col(text).alias("t")), ["k"])
     size = F.coalesce(F.length("t"), F.lit(0))
 
     def whole(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,4 +150,4 @@ def token_counts(docs: DataFrame, key: str, text: str, path: str, keep: list[str
             yield out
 
     schema = ", ".join(f"`{n}` {fields[n]}" for n in names) + ", n_tokens bigint"
-    return docs.select(*names, text).dropDuplicates([key]).mapInPandas(count, schema)
+    return one_per_key(docs.select(*names, text), [key]).mapInPandas(count, schema)

@@ -23,7 +23,7 @@ def test_chunked_equals_whole(spark, chunk, overlap):
     rnd = random.Random(3)
     pool = ["hello", " ", "  ", "\n\n", "你好，世界", "don't", "I'll", "123", "!!", "<|endoftext|>", "é", "🔥", "\t", "_" * 9, "ﬁ"]
     texts = ["".join(rnd.choice(pool) for _ in range(rnd.randrange(1, 90))) for _ in range(40)] + ["", " ", "a" * 300, " " * 200, None]
-    rows = [(k, t, "x") for k, t in enumerate(texts)] + [(0, texts[0], "x")]
+    rows = [(k, t, "x") for k, t in enumerate(texts)] + [(0, texts[0], "x"), (None, "null key", "x")]
     got = {r.doc_id: list(r.ids) for r in encode_corpus(spark.createDataFrame(rows, "doc_id long, text string, k string"), "doc_id", "text", PATH, chunk, overlap).collect()}
     ref = reference()
     assert len(got) == len(texts)
