@@ -5,7 +5,7 @@ cohesion, trained on the graded documents. Each source is held out in turn; the
 grades (isotonic regression) and give the error by source.
 
 Defined cases: null, empty and blank texts, and texts that are not in English throughout, have a null level; null grades
-and grades of unknown documents don't train; repeated keys are one document; long texts are measured whole; without
+and grades of unknown documents don't train; repeated keys are one document, a null key takes no part; long texts are measured whole; without
 any grade every level is null; an empty table gives no rows.
 """
 
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from framewright.llm import boosting
 from framewright.llm.language import paragraphs, spoken
 from framewright.llm.sampling import bounded_sample
+from framewright.operators.dedup import one_per_key
 
 SAMPLE = 10_000  # graded documents the trees are fitted on, about; twice that at most
 DEMANDING = 2.5
@@ -169,7 +170,7 @@ def train_levels(x: np.ndarray, y: np.ndarray, sources: list[str]) -> dict:
 def grade_documents(docs: DataFrame, labels: DataFrame, key: str, text: str, source: str, grade: str, sample: int = SAMPLE) -> tuple[DataFrame, dict | None]:
     """Rows ``key``, source, english, level (calibrated, 1 to 3), and the model with its held-out errors."""
     kind = dict(docs.dtypes)[key]
-    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text"), F.col(source).alias("src"))
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text"), F.col(source).alias("src")).filter("k is not null")
     graded = labels.filter(F.col(grade).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.max(grade).cast("double").alias("y"))
     learn = rows.filter("text is not null").join(bounded_sample(graded, ["k"], sample), "k").dropDuplicates(["k"]).toPandas().sort_values("k", kind="stable")
     learn = learn[[is_english(t) for t in learn["text"]]]
@@ -189,5 +190,5 @@ def grade_documents(docs: DataFrame, labels: DataFrame, key: str, text: str, sou
                 level[at] = np.clip(0.5 * np.interp(raw, m["knots"], m["levels"]) + 0.5 * raw, 1, 3)
             yield pd.DataFrame({"k": b["k"], "src": b["src"], "english": ok, "level": [None if np.isnan(v) else float(v) for v in level]})
 
-    done = rows.dropDuplicates(["k"]).mapInPandas(rate, f"k {kind}, src string, english boolean, level double")
+    done = one_per_key(rows, ["k"]).mapInPandas(rate, f"k {kind}, src string, english boolean, level double")
     return done.withColumnRenamed("k", key).withColumnRenamed("src", source), model

@@ -36,7 +36,7 @@ def test_held_out(spark):
         rows.append((k, " ".join(rnd.choice((EASY, MIDDLE, HARD)[level - 1], 5)), "abcd"[k % 4], "x"))
         if k < 150:
             grades.append((k, level))
-    rows += [(900, None, "a", "x"), (901, "  ", None, "x"), (902, "Mi madre guardó el sello hasta que el abogado lo quemó.", "a", "x"), rows[0]]
+    rows += [(900, None, "a", "x"), (901, "  ", None, "x"), (902, "Mi madre guardó el sello hasta que el abogado lo quemó.", "a", "x"), (None, "no key at all", "a", "x"), rows[0]]
     grades += [(7, None), (12345, 3)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, k string")
     labels = spark.createDataFrame(grades, "doc_id long, grade int")
