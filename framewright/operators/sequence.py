@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import difflib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,22 @@ def chains(df: DataFrame, keys: Sequence[str], order: str, starts: Column, name:
     return running_total(df, keys, order, F.when(starts, 1).otherwise(0), name)
 
 
+CHAINS_A_GROUP = 256
+
+
+def fold_chains(rows: DataFrame, keys: Sequence[str], order: str, fold: Callable[[pd.DataFrame], list[list]], schema: str) -> DataFrame:
+    """Run ``fold`` over each chain (``__c``) of rows in order; neighbouring chains share a group, as a group has a cost."""
+    names = [part.strip().split(" ")[0].strip("`") for part in schema.split(",")]
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        g = g.sort_values(["__c", order])
+        edges = [0, *(np.flatnonzero(np.diff(g["__c"].to_numpy())) + 1), len(g)]
+        return pd.DataFrame([r for a, z in zip(edges, edges[1:]) for r in fold(g.iloc[a:z])], columns=names)
+
+    grouped = rows.withColumn("__g", F.floor(F.col("__c") / CHAINS_A_GROUP).cast("bigint")).groupBy(*keys, "__g")
+    return grouped.applyInPandas(run, schema)
+
+
 def equality_runs(df: DataFrame, keys: Sequence[str], order: str, at: str, text: str, conf: str, step_ms: int = 500) -> DataFrame:
     """Runs of equal text (trimmed, lower case); a blank record breaks a run. First text, first and last time plus a step, mean score."""
     keys = list(keys)
@@ -144,8 +161,7 @@ def similarity_runs(df: DataFrame, keys: Sequence[str], order: str, at: str, tex
     def norm(t: str) -> str:
         return " ".join(t.split()).lower()
 
-    def fold(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(order)
+    def fold(g: pd.DataFrame) -> list[list]:
         key, out, cur = [g[k].iloc[0] for k in keys], [], None
         for t, txt, c in zip(g[at], g[text], g[conf]):
             if c < floor:
@@ -164,9 +180,9 @@ def similarity_runs(df: DataFrame, keys: Sequence[str], order: str, at: str, tex
                 cur = [t, t + step, txt, 1, 1, c, n]
         if cur:
             out.append(key + cur[:6])
-        return pd.DataFrame(out, columns=[*keys, "start_ms", "end_ms", "text", "n_frames", "n_normal", "conf_sum"])
+        return out
 
-    runs = rows.select(*keys, "__c", order, at, text, conf).groupBy(*keys, "__c").applyInPandas(fold, schema)
+    runs = fold_chains(rows.select(*keys, "__c", order, at, text, conf), keys, order, fold, schema)
     return runs.filter(F.col("end_ms") - F.col("start_ms") >= least_ms)
 
 
@@ -182,8 +198,7 @@ def dedup_blocks(df: DataFrame, keys: Sequence[str], order: str, start: str, end
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     schema = ", ".join(f"`{k}` {fields[k]}" for k in keys) + f", {start} bigint, {end} bigint, {text} string, {conf} bigint, n_merged int"
 
-    def fold(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(order)
+    def fold(g: pd.DataFrame) -> list[list]:
         key, out = [g[k].iloc[0] for k in keys], []
         for s, e, t, c in zip(g[start], g[end], g[text], g[conf]):
             t = t or ""
@@ -194,9 +209,9 @@ def dedup_blocks(df: DataFrame, keys: Sequence[str], order: str, start: str, end
                     last[2], last[3] = t, c
             else:
                 out.append([s, e, t, c, 1])
-        return pd.DataFrame([key + r for r in out], columns=[*keys, start, end, text, conf, "n_merged"])
+        return [key + r for r in out]
 
-    return rows.select(*keys, "__c", order, start, end, text, F.coalesce(conf, F.lit(0)).alias(conf)).groupBy(*keys, "__c").applyInPandas(fold, schema)
+    return fold_chains(rows.select(*keys, "__c", order, start, end, text, F.coalesce(conf, F.lit(0)).alias(conf)), keys, order, fold, schema)
 
 
 def merge_short(df: DataFrame, keys: Sequence[str], order: str, start: str, end: str, text: str, short_ms: int = 300) -> DataFrame:
@@ -217,8 +232,7 @@ def merge_short(df: DataFrame, keys: Sequence[str], order: str, start: str, end:
             return a
         return a + (" " if a[-1:].isascii() and b[:1].isascii() and a and b else "") + b
 
-    def fold(g: pd.DataFrame) -> pd.DataFrame:
-        g = g.sort_values(order)
+    def fold(g: pd.DataFrame) -> list[list]:
         key = [g[k].iloc[0] for k in keys]
         cur = [[s, e, t or "", 1] for s, e, t in zip(g[start], g[end], g[text])]
         changed = True
@@ -234,9 +248,9 @@ def merge_short(df: DataFrame, keys: Sequence[str], order: str, start: str, end:
                     out.append(a)
                     i += 1
             cur = out
-        return pd.DataFrame([key + r for r in cur], columns=[*keys, start, end, text, "n_merged"])
+        return [key + r for r in cur]
 
-    return rows.select(*keys, "__c", order, start, end, text).groupBy(*keys, "__c").applyInPandas(fold, schema)
+    return fold_chains(rows.select(*keys, "__c", order, start, end, text), keys, order, fold, schema)
 
 
 def stale_context(df: DataFrame, keys: Sequence[str], order: str, master: str, context: str, available: str, risk: str, back: int = 5, chunk: int = 2000) -> DataFrame:
