@@ -145,9 +145,9 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reached_shares(*_mix(spark, sf_dir))
 
 
-def _graded(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _graded(spark: SparkSession, sf_dir: str, every: bool = False) -> DataFrame:
     labels = table(spark, sf_dir, "reading_label").select("doc_id", F.col("reading_level").alias("grade"))
-    return grade_documents(table(spark, sf_dir, "documents"), labels, "doc_id", "text", "source", "grade")[0]
+    return grade_documents(table(spark, sf_dir, "documents"), labels, "doc_id", "text", "source", "grade", every=every)[0]
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -156,8 +156,8 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How the levels spread in each source."""
-    g = _graded(spark, sf_dir).filter("level is not null").groupBy("source")
+    """How the levels of all documents spread in each source; only those without text have none."""
+    g = _graded(spark, sf_dir, every=True).groupBy("source")
     return g.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("level").alias("mean_level"), *[F.count_if(F.round("level").cast("int") == k).alias(f"n_level_{k}") for k in (1, 2, 3)])
 
 

@@ -4,9 +4,15 @@ Gradient-boosted regression trees (llm.boosting) over distributions of sentence
 cohesion, trained on the graded documents. Each source is held out in turn; the held-out predictions calibrate the
 grades (isotonic regression) and give the error by source.
 
-Defined cases: null, empty and blank texts, and texts that are not in English throughout, have a null level; null grades
-and grades of unknown documents don't train; repeated keys are one document, a null key takes no part; long texts are measured whole; without
-any grade every level is null; an empty table gives no rows.
+With ``every``, texts that are not in English throughout get a level too: from trees over the measures that other languages
+share (length, vocabulary, binding words, cohesion), trained on the same graded documents, each paragraph read with the
+function words and letters a word of its language, Han text cut at its function words. No grade exists in another language,
+so the error of these levels is known for English only.
+
+Defined cases: null, empty and blank texts have a null level, and without ``every`` so have texts that are not in English
+throughout; with it a text without a word has the lowest level; null grades and grades of unknown documents don't train;
+repeated keys are one document, a null key takes no part; long texts are measured whole; without any grade every level is
+null; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -14,6 +20,7 @@ from __future__ import annotations
 import functools
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -151,6 +158,76 @@ def measures(text: str, parts: list[str] | None = None) -> np.ndarray:
 
 N_MEASURES = 45
 
+# What brings a running word's letters to English length, and words that bind or join clauses.
+LETTERS = {"en": 1.0, "es": 0.95, "pt": 0.95, "fr": 0.95, "de": 0.83, "zh": 2.6}
+BINDERS = {
+    "en": CONNECTIVES,
+    "es": frozenset("porque aunque sin embargo mientras cuando que cual cuales cuyo cuya quien quienes si hasta desde pues donde".split()),
+    "pt": frozenset("porque embora porém enquanto quando que qual quais cujo cuja quem se até desde pois onde portanto".split()),
+    "fr": frozenset("parce quoique cependant pendant quand que qui dont lequel laquelle lesquels si jusque depuis car où lorsque puisque".split()),
+    "de": frozenset("weil obwohl jedoch daher während dass wenn als bis seit damit ob dessen deren denen welche welcher welches wobei".split()),
+    "zh": frozenset("因为 所以 虽然 但是 然而 因此 如果 要是 直到 由于 从而 以及 其 之 否则 不仅 而且".split()),
+}
+JOINERS = {"en": COORDINATORS, "es": frozenset("y e o pero".split()), "pt": frozenset("e ou mas".split()), "fr": frozenset("et ou mais".split()), "de": frozenset("und oder aber".split()), "zh": frozenset("和 与 或 然后 还".split())}
+ZH_WORDS = frozenset("的 了 在 是 不 我 你 他 她 它 我们 你们 他们 这 那 这个 那个 就 也 都 还 和 与 或 但 把 被 从 到 对 给 让 为 要 会 能 有 没有 没 说 去 来 上 下 里 后 前 过 着 吗 吧 呢 啊 什么 谁 怎么 为什么 到底 一 个 份 枚 很 太 任何 之 其 以 而 于 并 所 地 得".split()) | BINDERS["zh"] | JOINERS["zh"]
+_HAN = re.compile("[\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff]")
+_HAN_WORDS = re.compile("|".join(sorted(ZH_WORDS, key=lambda w: (-len(w), w))))
+_END_ANY = re.compile(r"[.!?…]+[\"”’)]*(?:\s+|$)|[。！？；…]+[\"”’」』）]*|\n+")
+_COMMA = re.compile("[,;:，、：]")
+
+
+def tongue(words: list[str], fallback: str = "en") -> str:
+    """The language whose function words a passage in Latin letters has most of."""
+    hits = Counter(i for w in words for i in _OWNER.get(w, ()))
+    return max(_LANG, key=lambda k: (hits[list(_LANG).index(k)], k == fallback)) if hits else fallback
+
+
+def _cut_words(sentence: str) -> list[str]:
+    """Words in small letters; Han text is cut at its function words, what lies between them into at most four characters."""
+    out = []
+    for w in _WORD.findall(sentence):
+        if not _HAN.search(w):
+            out.append(w.lower())
+            continue
+        at = 0
+        for m in [*_HAN_WORDS.finditer(w), None]:
+            gap = w[at : m.start() if m else len(w)]
+            out += [gap[i : i + 4] for i in range(0, len(gap), 4)]
+            if m:
+                out.append(m.group())
+                at = m.end()
+    return out
+
+
+def shared_measures(parts: list[str]) -> np.ndarray | None:
+    """Length, vocabulary, binding and cohesion of a text of any language or several; None without a word."""
+    read = [[(w, len(_COMMA.findall(s))) for s in _END_ANY.split(p) if s and (w := _cut_words(s))] for p in parts]
+    main = tongue([w for p in read for s, _ in p for w in s])
+    facts, commas = [], []
+    for p in read:
+        words = [w for s, _ in p for w in s]
+        k = tongue(words, main) if len(words) >= 8 else main
+        for s, c in p:
+            commas.append(c)
+            facts.append([(w, len(w) * LETTERS[z], w not in (ZH_WORDS if z == "zh" else _LANG[z]), w in BINDERS[z], w in JOINERS[z]) for w in s for z in ["zh" if _HAN.search(w) else k]])
+    if not facts:
+        return None
+    flat = [f for s in facts for f in s]
+    n, k = len(flat), len(facts)
+    size, letters = [len(s) for s in facts], [f[1] for f in flat]
+    own = [f[1] for f in flat if f[2]] or [0]
+    heavy = [sum(f[1] >= 7.5 for f in s) / len(s) for s in facts]
+    content, bonds, joins = (sum(f[i] for f in flat) for i in (2, 3, 4))
+    sets = [frozenset(f[0] for f in s if f[2]) for s in facts]
+    overlap = [len(a & b) / max(1, min(len(a), len(b))) for a, b in zip(sets, sets[1:])] or [0.0]
+    mean, mean_letters = n / k, sum(letters) / n
+    return np.array([
+        *_at(size, 0.1, 0.5, 0.9), mean, _spread(size, mean), mean_letters, _spread(letters, mean_letters), *_at(own, 0.5, 0.75, 0.9), sum(own) / len(own),
+        sum(x >= 7.5 for x in letters) / n, sum(x >= 10.5 for x in letters) / n, sum(x < 3.5 for x in letters) / n, *_at(heavy, 0.1, 0.5, 0.9), sum(h > 0.25 for h in heavy) / k, sum(x > 20 for x in size) / k,
+        content / n, len({f[0] for f in flat}) / n, sum(commas) / n * 10, sum(commas) / k, bonds / n * 10, joins / n * 10, bonds / k, joins / k,
+        sum(overlap) / len(overlap), len({s[0][0] for s in facts}) / k,
+    ])
+
 
 def train_levels(x: np.ndarray, y: np.ndarray, sources: list[str]) -> dict:
     """Trees on all graded texts, calibration and error from predictions with the source (in at most 5 groups) held out."""
@@ -167,15 +244,18 @@ def train_levels(x: np.ndarray, y: np.ndarray, sources: list[str]) -> dict:
     return model
 
 
-def grade_documents(docs: DataFrame, labels: DataFrame, key: str, text: str, source: str, grade: str, sample: int = SAMPLE) -> tuple[DataFrame, dict | None]:
-    """Rows ``key``, source, english, level (calibrated, 1 to 3), and the model with its held-out errors."""
+def grade_documents(docs: DataFrame, labels: DataFrame, key: str, text: str, source: str, grade: str, sample: int = SAMPLE, every: bool = False) -> tuple[DataFrame, dict | None]:
+    """Rows ``key``, source, english, level (calibrated, 1 to 3; with ``every`` for texts of any language), and the model with its held-out errors."""
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text"), F.col(source).alias("src")).filter("k is not null")
     graded = labels.filter(F.col(grade).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.max(grade).cast("double").alias("y"))
     learn = rows.filter("text is not null").join(bounded_sample(graded, ["k"], sample), "k").dropDuplicates(["k"]).toPandas().sort_values("k", kind="stable")
     learn = learn[[is_english(t) for t in learn["text"]]]
     model = train_levels(np.array([measures(t) for t in learn["text"]]), learn["y"].to_numpy(), [s if isinstance(s, str) else "" for s in learn["src"]]) if len(learn) else None
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 80 trees of 15 nodes
+    if model and every:
+        x = [shared_measures(spoken_parts(t)) for t in learn["text"]]  # an English text has a word
+        model["shared"] = train_levels(np.array(x), learn["y"].to_numpy(), [s if isinstance(s, str) else "" for s in learn["src"]])
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 80 trees of 15 nodes, with ``every`` twice that
 
     def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         m = shared.value
@@ -183,11 +263,16 @@ def grade_documents(docs: DataFrame, labels: DataFrame, key: str, text: str, sou
             parts = [spoken_parts(t) if isinstance(t, str) else [] for t in b["text"]]
             ok = [bool(p) and is_english("", p) for p in parts]
             level = np.full(len(b), np.nan)
-            at = np.flatnonzero(ok)
-            if m is not None and len(at):
-                raw = boosting.predict(m, np.array([measures("", parts[i]) for i in at]))
-                # Between calibrated levels the raw score keeps documents apart.
-                level[at] = np.clip(0.5 * np.interp(raw, m["knots"], m["levels"]) + 0.5 * raw, 1, 3)
+            todo = [(m, {i: measures("", parts[i]) for i in np.flatnonzero(ok)})] if m is not None else []
+            if m is not None and every:
+                rest = {i: shared_measures(p) for i, p in enumerate(parts) if p and not ok[i]}
+                level[[i for i, x in rest.items() if x is None]] = 1.0
+                todo.append((m["shared"], {i: x for i, x in rest.items() if x is not None}))
+            for own, of in todo:
+                if of:
+                    raw = boosting.predict(own, np.array(list(of.values())))
+                    # Between calibrated levels the raw score keeps documents apart.
+                    level[list(of)] = np.clip(0.5 * np.interp(raw, own["knots"], own["levels"]) + 0.5 * raw, 1, 3)
             yield pd.DataFrame({"k": b["k"], "src": b["src"], "english": ok, "level": [None if np.isnan(v) else float(v) for v in level]})
 
     done = one_per_key(rows, ["k"]).mapInPandas(rate, f"k {kind}, src string, english boolean, level double")

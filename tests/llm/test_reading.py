@@ -3,7 +3,8 @@ from __future__ import annotations
 import numpy as np
 
 from framewright.llm import boosting
-from framewright.llm.reading import grade_documents, is_english, measures
+from framewright.llm.queries import p10_profile
+from framewright.llm.reading import grade_documents, is_english, measures, shared_measures, tongue
 
 EASY = ["The dog ran home.", "Mom made tea.", "He saw the ring.", "It was cold.", "She shut the gate."]
 MIDDLE = ["The older brother hides the letter because nobody believed the story.", "The driver follows the stranger to the harbor after a long talk.", "When the guests arrive she plans a surprise for the banquet."]
@@ -45,3 +46,29 @@ def test_held_out(spark):
     assert sum(round(got[k].level) == truth[k] for k in range(150, 240)) >= 85
     assert all(r.level is None for r in grade_documents(docs, labels.limit(0), "doc_id", "text", "source", "grade")[0].collect())
     assert grade_documents(docs.limit(0), labels, "doc_id", "text", "source", "grade")[0].count() == 0
+
+
+SPANISH = ("El perro corre. Mamá hizo té. Él vio el anillo. Hacía frío. Ella no vino. ", "La legitimación desproporcionada de la dinastía, cuya autoridad intergeneracional no había sido examinada adecuadamente, desestabiliza el estatuto probatorio de los documentos que los protagonistas recuperaron. ")
+CHINESE = ("狗跑了。妈妈来了。他不说。天很冷。", "王朝合法性叙事结构之内在矛盾，由于跨世代权威关系缺乏充分审查，从而动摇了文献证据地位，并且消解了观众对历史真实性的期待。")
+
+
+def test_every_language(spark):
+    assert tongue("la casa de los niños".split()) == "es" and tongue("das ist nicht mein haus".split()) == "de"
+    assert shared_measures(["12:30 --- 77"]) is None and np.isfinite(shared_measures(["你好，世界。", "a " * 9_000])).all()
+    rnd = np.random.default_rng(4)
+    rows = [(k, " ".join(rnd.choice((EASY, MIDDLE, HARD)[k % 3], 5)), "abcd"[k % 4]) for k in range(120)]
+    grades = [(k, k % 3 + 1) for k in range(120)]
+    rows += [(201, SPANISH[0], "a"), (202, SPANISH[1], "a"), (203, CHINESE[0], "a"), (204, CHINESE[1], "a"), (205, "12:30 ---", "a"), (206, " ", "a"), (207, None, "a"), (208, EASY[0] * 3 + "\n\n" + SPANISH[0], "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    labels = spark.createDataFrame(grades, "doc_id long, grade int")
+    got, english = ({r.doc_id: r for r in grade_documents(docs, labels, "doc_id", "text", "source", "grade", every=e)[0].collect()} for e in (True, False))
+    assert {k for k, r in got.items() if r.level is None} == {206, 207}
+    assert got[202].level > got[201].level + 0.5 and got[204].level > got[203].level + 0.5 and got[205].level == 1
+    assert all(got[k] == english[k] for k in range(120)) and not any(got[k].english for k in range(201, 209))
+
+
+def test_profile_has_every_document(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").filter("doc_id is not null").dropDuplicates(["doc_id"])
+    got = p10_profile(spark, sf_dir).collect()
+    assert sum(r.n_docs for r in got) == docs.count()
+    assert sum(r.n_level_1 + r.n_level_2 + r.n_level_3 for r in got) == docs.filter(r"text rlike '[^\s\uFEFF]'").count()
