@@ -34,8 +34,9 @@ SAMPLE = 5_000  # documents the network is trained on, about; twice that at most
 PER_CLASS = 8_000  # windows a language
 SHARPNESS = 6.0  # neighbouring positions agree, so their log probabilities are tempered
 PER_BYTE = 1.0  # and log odds per byte of its letters
-MIXED_BYTES = 40  # letters' bytes from which a paragraph can speak against its document
+MIXED_BYTES = 40  # letters' bytes below which a paragraph needs stronger evidence, see SHORT_MARGIN
 MARGIN = 4.0  # tempered log odds from which a paragraph speaks clearly against its document
+SHORT_MARGIN, SHORT_PER_BYTE, SHORT_HAN = 30.0, 6.0, 4  # the same for few letters, log odds per byte of them; or so many Han letters, most of all
 
 _BREAK = re.compile(r"\n[^\S\n]*\n\s*")
 _CLUTTER = re.compile(r"\d{1,2}:\d{2}(?::\d{2})?(?:[.,]\d{1,3})?|-->|\[[A-Za-z]{1,4}[_ ]?\d+\]|(?m:^\s*\d+\s*$)|(?m:^\s*[A-Z][A-Z' _.-]{1,40}:)|(?m:^\s*[一-鿿]{1,5}[:：])|https?://\S+|\w+@\w+")
@@ -93,8 +94,10 @@ def train_network(sample: pd.DataFrame, languages: tuple[str, ...] = LANGUAGES,
 
     first = fitted(docs, BATCHES // 2)
     heads = score_texts([["\n".join(spoken(p) for p in parts)[:600]] for _, parts in docs], first)
-    kept = [d for d, s in zip(docs, heads) if int(s[0].argmax()) == d[0]]
-    return fitted(kept or docs, BATCHES)
+    agrees = [int(s[0].argmax()) == c for (c, _), s in zip(docs, heads)]
+    of, right = Counter(c for c, _ in docs), Counter(c for (c, _), a in zip(docs, agrees) if a)
+    # A language that the first network has not learned keeps all its documents: their labels are not what is wrong.
+    return fitted([d for d, a in zip(docs, agrees) if a or 2 * right[d[0]] < of[d[0]]], BATCHES)
 
 
 def score_texts(texts: list[list[str]], net: dict[str, np.ndarray]) -> list[np.ndarray]:
@@ -117,22 +120,35 @@ def letter_bytes(part: str) -> int:
     return int(0.4 * n) if alone else n
 
 
+def short_evidence(part: str) -> tuple[int, bool]:
+    """Bytes of all letters of a part, and whether it is in Han script."""
+    letters = _LETTER.findall(spoken(part))
+    han = sum("\u3400" <= c <= "\u9fff" for c in letters)
+    return len("".join(letters).encode("utf-8", "replace")), han >= SHORT_HAN and 2 * han > len(letters)
+
+
 def _soft(s: np.ndarray) -> np.ndarray:
     e = np.exp((s - s.max()) / SHARPNESS)
     return e / e.sum()
 
 
-def judge(parts: np.ndarray, sizes: list[int] | None = None) -> tuple[int, float, bool, list[tuple[int, float]]]:
+def judge(parts: np.ndarray, sizes: list[int] | None = None, short: list[tuple[int, bool]] | None = None) -> tuple[int, float, bool, list[tuple[int, float]]]:
     """Document language, confidence, mixed or not, and (language, confidence) of each part; -1 where nothing was scored."""
     live = np.flatnonzero(parts.any(axis=1))
     if not len(live):
         return -1, 0.0, False, [(-1, 0.0)] * len(parts)
     whole = parts[live].sum(axis=0)
     main = int(whole.argmax())
-    enough = [True] * len(parts) if sizes is None else [n >= MIXED_BYTES for n in sizes]
     lead = parts.max(axis=1) - parts[:, main]
     per_byte = lead / np.maximum(1, sizes if sizes is not None else 1)
-    against = {i: int(parts[i].argmax()) for i in live if enough[i] and lead[i] / SHARPNESS >= MARGIN and per_byte[i] >= PER_BYTE}
+
+    def clear(i: int) -> bool:
+        if sizes is None or sizes[i] >= MIXED_BYTES:
+            return bool(per_byte[i] >= PER_BYTE)
+        n, han = short[i] if short else (sizes[i], False)
+        return han or bool(lead[i] / SHARPNESS >= SHORT_MARGIN and lead[i] / max(1, n) >= SHORT_PER_BYTE)
+
+    against = {i: int(parts[i].argmax()) for i in live if lead[i] / SHARPNESS >= MARGIN and clear(i)}
     mixed = bool(against)
     if not mixed:
         c = float(_soft(whole)[main])
@@ -162,7 +178,7 @@ def label_documents(docs: DataFrame, key: str, text: str, lang: str, languages:
             parts = [paragraphs(t) if isinstance(t, str) else [] for t in b["text"]]
             out = []
             for k, given, p, s in zip(b["k"], b["lang"], parts, score_texts(parts, shared.value)):
-                main, sure, mixed, each = judge(s, [letter_bytes(x) for x in p] if len(p) > 1 else None) if p else (-1, 0.0, False, [])
+                main, sure, mixed, each = judge(s, *([f(x) for x in p] for f in (letter_bytes, short_evidence) if len(p) > 1)) if p else (-1, 0.0, False, [])
                 name = lambda c: languages[c] if c >= 0 else None
                 out.append((k, 0, name(main), sure, mixed, given))
                 if mixed:

@@ -1,9 +1,10 @@
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 
-from framewright.llm import gru
-from framewright.llm.language import judge, label_documents, paragraphs, script_of_groups, windows
+from framewright.llm import gru, language
+from framewright.llm.language import judge, label_documents, letter_bytes, paragraphs, script_of_groups, short_evidence, windows
 from framewright.llm.queries import p6_found
 
 
@@ -76,3 +77,26 @@ def test_held_out(spark):
 
 def test_query_shape(spark, sf_dir):
     assert p6_found(spark, sf_dir).columns == ["rec_kind", "rec_id", "para_no", "found_lang"]
+
+
+def test_short_paragraphs_speak():
+    parts = ["Pourquoi le majordome attend-il toujours devant le temple ? Qui a caché le contrat dans le salon ?", "He fell down. It was so sad. She ran to the car.", "这也太上头了吧", "LOL ツ"]
+    sizes, short = [letter_bytes(x) for x in parts], [short_evidence(x) for x in parts]
+    assert max(sizes[1:]) < language.MIXED_BYTES and [han for _, han in short] == [False, False, True, False]
+    fr, en, zh = np.array([0.0, -900, -900]), np.array([-240.0, 0, -300]), np.array([-60.0, -60, 0])
+    each = lambda *s: [c for c, _ in judge(np.array(s), [sizes[i] for i in at], [short[i] for i in at])[3]]
+    at = [0, 1]
+    assert each(fr, en) == [0, 1] and each(fr, en / 4) == [0, 0]
+    at = [0, 2]
+    assert each(fr, zh) == [0, 2]
+    at = [0, 3]
+    assert each(fr, zh) == [0, 0]
+
+
+def test_no_language_is_lost(monkeypatch):
+    rounds = []
+    monkeypatch.setattr(gru, "train", lambda xs, ys, *a: rounds.append(set(map(int, ys))) or gru.init(2, 3))
+    monkeypatch.setattr(language, "score_texts", lambda docs, net: [np.array([[0.0, -1, -1]])] * len(docs))
+    data = pd.DataFrame([(k, t, lang) for k, (lang, t) in enumerate(texts(60, 2))], columns=["k", "text", "lang"])
+    language.train_network(data, ("en", "es", "de"))
+    assert rounds == [{0, 1, 2}, {0, 1, 2}]
