@@ -256,28 +256,68 @@ def merge_short(df: DataFrame, keys: Sequence[str], order: str, start: str, end:
 def stale_context(df: DataFrame, keys: Sequence[str], order: str, master: str, context: str, available: str, risk: str, back: int = 5, chunk: int = 2000) -> DataFrame:
     """Context that repeats one of the last ``back`` masters or surviving contexts is suppressed (it then counts as empty).
 
-    Feedback reaches ``back`` rows. Chunks start ``chunk`` rows apart and warm up over ``10 * back`` earlier rows; the state
-    depends on older rows only through a suppression chain that crosses the whole warm-up.
+    Feedback reaches ``back`` rows, so what a chunk of ``chunk`` rows (at least ``back``) takes over is which of the ``back``
+    contexts before it survived. Each chunk says what it hands on for every such state, one row a chunk is scanned a group,
+    and the chunks are folded from the state that holds: the result does not depend on their borders.
     """
     keys = list(keys)
     rows = number_rows(df, keys, order, "__n", first=0)
-    rows = rows.withColumn("__c", F.explode(F.array_distinct(F.array(F.floor(F.col("__n") / chunk).cast("bigint"), F.floor((F.col("__n") + 10 * back) / chunk).cast("bigint")))))
+    rows = rows.withColumn("__c", F.explode(F.array_distinct(F.array(F.floor(F.col("__n") / chunk).cast("bigint"), F.floor((F.col("__n") + back) / chunk).cast("bigint")))))
+    rows = rows.select(*keys, "__c", "__n", order, master, context, F.coalesce(available, F.lit(False)).alias(available))
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    schema = ", ".join(f"`{k}` {fields[k]}" for k in keys) + f", {order} {fields[order]}, context_kept string"
+    named = ", ".join(f"`{k}` {fields[k]}" for k in keys)
 
-    def fold(g: pd.DataFrame) -> pd.DataFrame:
+    def parts(g: pd.DataFrame, c: int) -> tuple[pd.DataFrame, list[str], list[str], list[tuple[str, str]], int]:
+        """The group in order, masters and usable contexts of the rows before the chunk, those of its rows, number of the former."""
         g = g.sort_values("__n")
-        c = int(g["__c"].iloc[0])
-        masters, contexts, out = [], [], []
-        for n, o, m, x, ok in zip(g["__n"], g[order], g[master], g[context], g[available]):
-            m, x = m or "", x or ""
-            keep = bool(ok) and x != ""
-            if keep and x != m and (x in masters[-back:] or x in [y for y in contexts[-back:] if y]):
-                keep = False
+        pairs = [(m or "", (x or "") if ok else "") for m, x, ok in zip(g[master], g[context], g[available])]
+        n = int((g["__n"] < c * chunk).sum())
+        return g, [m for m, _ in pairs[:n]], [x for _, x in pairs[:n]], pairs[n:], n
+
+    def taken(before: list[str], state: int) -> list[str]:
+        return [x if state >> (len(before) - 1 - i) & 1 else "" for i, x in enumerate(before)]
+
+    def decide(masters: list[str], kept: list[str], body: list[tuple[str, str]], known: list[str] | None = None) -> list[str]:
+        """Surviving contexts, ``kept`` before them; taken from ``known``, another run's, once ``back`` of them agree."""
+        masters, kept, same = list(masters), list(kept), 0
+        for i, (m, x) in enumerate(body):
+            if x and x != m and (x in masters[-back:] or x in kept[-back:]):
+                x = ""
             masters.append(m)
-            contexts.append(x if keep else "")
-            if n // chunk == c:
-                out.append([*(g[k].iloc[0] for k in keys), o, x if keep else ""])
-        return pd.DataFrame(out, columns=[*keys, order, "context_kept"])
+            kept.append(x)
+            if known is not None:
+                same = same + 1 if known[len(kept) - 1] == x else 0
+                if same >= back:
+                    return kept + known[len(kept) :]
+        return kept
+
+    def hands_on(g: pd.DataFrame) -> pd.DataFrame:
+        c = int(g["__c"].iloc[0])
+        g, masters, before, body, _ = parts(g, c)
+        first = decide(masters, taken(before, 0), body)
+        done: dict[tuple[str, ...], int] = {}
+        out = []
+        for state in range(1 << len(before)):
+            start = taken(before, state)
+            if tuple(start) not in done:
+                end = decide(masters, start, body, first)[-back:]
+                done[tuple(start)] = sum(1 << (len(end) - 1 - i) for i, x in enumerate(end) if x)
+            out.append(done[tuple(start)])
+        return pd.DataFrame([[*(g[k].iloc[0] for k in keys), c, out]], columns=[*keys, "__c", "to"])
+
+    def scan(g: pd.DataFrame) -> pd.DataFrame:
+        g, state, out = g.sort_values("__c"), 0, []
+        for c, to in zip(g["__c"], g["to"]):
+            out.append([*(g[k].iloc[0] for k in keys), c, state])
+            state = int(to[state])
+        return pd.DataFrame(out, columns=[*keys, "__c", "state"])
+
+    def fold(g: pd.DataFrame, s: pd.DataFrame) -> pd.DataFrame:
+        c = int(g["__c"].iloc[0])
+        g, masters, before, body, n = parts(g, c)
+        kept = decide(masters, taken(before, int(s["state"].iloc[0])), body)[n:]
+        return pd.DataFrame([[*(g[k].iloc[0] for k in keys), o, x] for o, x in zip(g[order].iloc[n:], kept)], columns=[*keys, order, "context_kept"])
 
-    return rows.select(*keys, "__c", "__n", order, master, context, F.coalesce(available, F.lit(False)).alias(available)).groupBy(*keys, "__c").applyInPandas(fold, schema)
+    maps = rows.groupBy(*keys, "__c").applyInPandas(hands_on, f"{named}, __c bigint, to array<int>")
+    states = maps.groupBy(*keys).applyInPandas(scan, f"{named}, __c bigint, state int")
+    return rows.groupBy(*keys, "__c").cogroup(states.groupBy(*keys, "__c")).applyInPandas(fold, f"{named}, {order} {fields[order]}, context_kept string")

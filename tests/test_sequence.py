@@ -65,3 +65,22 @@ def test_stale_context(spark):
     df = spark.createDataFrame(rows, "ep string, idx int, m string, c string, a boolean, r boolean")
     got = {r.idx: r.context_kept for r in sq.stale_context(df, ["ep"], "idx", "m", "c", "a", "r", chunk=70).collect()}
     assert got == want
+
+
+def test_stale_context_ends_of_chunks(spark):
+    rnd = random.Random(8)
+    rows = [("e", k, rnd.choice("xyz"), "w", True, False) for k in range(700)] + [("f", k, rnd.choice("abw"), rnd.choice(["w", "w", "w", "a", None]), rnd.random() < 0.95, False) for k in range(500)]
+    rows += [(None, k, "x", "w", True, False) for k in range(45)]
+    want = {}
+    for ep in ("e", "f", None):
+        masters, contexts = [], []
+        for _, k, m, x, ok, _ in [r for r in rows if r[0] == ep]:
+            x = (x or "") if ok else ""
+            if x and x != m and (x in masters[-5:] or x in contexts[-5:]):
+                x = ""
+            masters.append(m)
+            contexts.append(x)
+            want[ep, k] = x
+    df = spark.createDataFrame(rows, "ep string, idx int, m string, c string, a boolean, r boolean")
+    for chunk in (20, 200, 2000):
+        assert {(r.ep, r.idx): r.context_kept for r in sq.stale_context(df, ["ep"], "idx", "m", "c", "a", "r", chunk=chunk).collect()} == want
