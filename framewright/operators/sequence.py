@@ -253,6 +253,25 @@ def merge_short(df: DataFrame, keys: Sequence[str], order: str, start: str, end:
     return fold_chains(rows.select(*keys, "__c", order, start, end, text), keys, order, fold, schema)
 
 
+NEGATIONS = "isn|doesn|don|can|won|wouldn|couldn|shouldn|didn|wasn|weren|hasn|haven"
+CONTINUES = "^(?:To (?!be )|(?:" + "|".join(f"[{w[0].upper()}{w[0]}]{w[1:]}" for w in NEGATIONS.split("|")) + ")'t )"
+
+
+def continuation_repair(df: DataFrame, keys: Sequence[str], order: str, start: str, end: str, text: str, gap_ms: int = 500) -> DataFrame:
+    """Sentences split over two rows: the first row's full stop goes and the second row begins in lower case.
+
+    The second begins with an infinitive (not "To be ") or a negation and ends in ? or !; the first ends in a full stop at
+    most ``gap_ms`` before. Edits never feed back, as one row must end in a stop and the other in ? or !.
+    """
+    keys = list(keys)
+    rows = previous(df.select(*keys, order, start, end, text), keys, order, F.struct(F.col(text).alias("t"), F.col(end).alias("e")), "__p")
+    second = F.col(text).rlike(CONTINUES) & F.col(text).rlike(r"[?!]\z") & F.col("__p.v.t").endswith(".") & (F.col(start) - F.col("__p.v.e") <= gap_ms)
+    rows = rows.withColumn("__second", F.coalesce(second, F.lit(False)))
+    rows = following(rows, keys, order, F.col("__second"), "__n")
+    whole = F.when(F.col("__second"), F.concat(F.lower(F.substring(text, 1, 1)), F.expr(f"substring(`{text}`, 2)"))).when(F.coalesce("__n", F.lit(False)), F.expr(f"left(`{text}`, length(`{text}`) - 1)"))
+    return rows.select(*keys, order, whole.otherwise(F.col(text)).alias(text), whole.isNotNull().alias("changed"))
+
+
 def stale_context(df: DataFrame, keys: Sequence[str], order: str, master: str, context: str, available: str, risk: str, back: int = 5, chunk: int = 2000) -> DataFrame:
     """Context that repeats one of the last ``back`` masters or surviving contexts is suppressed (it then counts as empty).
 

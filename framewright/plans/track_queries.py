@@ -242,6 +242,16 @@ def seq_12_continuation(spark, sf):
     return rows.select("ep_id", "id", F.when(cont, F.concat(F.lower(F.substring("t", 1, 1)), F.expr("substring(t, 2)"))).otherwise(F.col("t")).alias("text"), goes.alias("continues"))
 
 
+_SECOND = "coalesce(regexp_matches(t, '^(To |([Ii]sn|[Dd]oesn|[Dd]on|[Cc]an|[Ww]on|[Ww]ouldn|[Cc]ouldn|[Ss]houldn|[Dd]idn|[Ww]asn|[Ww]eren|[Hh]asn|[Hh]aven)''t )') AND NOT starts_with(t, 'To be ') AND (ends_with(t, '?') OR ends_with(t, '!')) AND ends_with(p, '.') AND start_ms - pe <= 500, FALSE)"
+
+
+@query(f"""WITH {b.ASR}, t AS (SELECT ep_id, id, start_ms, text AS t, lag(text) OVER w AS p, lag(end_ms) OVER w AS pe FROM asr WINDOW w AS (PARTITION BY ep_id ORDER BY id)),
+s AS (SELECT ep_id, id, t, {_SECOND} AS second FROM t), n AS (SELECT *, coalesce(lead(second) OVER (PARTITION BY ep_id ORDER BY id), FALSE) AS first FROM s)
+SELECT ep_id, id, CASE WHEN second THEN lower(substr(t, 1, 1)) || substr(t, 2) WHEN first THEN substr(t, 1, length(t) - 1) ELSE t END AS text, second OR first AS changed FROM n""")
+def seq_12_continuation_repair(spark, sf):
+    return sq.continuation_repair(b.asr(spark, sf), ["ep_id"], "id", "start_ms", "end_ms", "text")
+
+
 @query(f"""WITH {b.ASR}, {b.SEG}, c AS (SELECT o.ep_id, o.id AS window_id, a.id, o.end_ms - a.end_ms AS gap, CASE WHEN regexp_matches(coalesce(a.text, ''), '[?？!！…]\\s*$') THEN 0 ELSE 1 END AS tier
   FROM seg o JOIN asr a ON o.ep_id = a.ep_id AND a.end_ms > a.start_ms AND a.start_ms < o.end_ms AND a.end_ms > o.end_ms - 45000 WHERE o.end_ms > o.start_ms AND o.end_ms - a.end_ms BETWEEN 2000 AND 45000)
 SELECT ep_id, window_id, arg_min(id, (tier, -id)) AS cut_id FROM c GROUP BY 1, 2""")

@@ -84,3 +84,18 @@ def test_stale_context_ends_of_chunks(spark):
     df = spark.createDataFrame(rows, "ep string, idx int, m string, c string, a boolean, r boolean")
     for chunk in (20, 200, 2000):
         assert {(r.ep, r.idx): r.context_kept for r in sq.stale_context(df, ["ep"], "idx", "m", "c", "a", "r", chunk=chunk).collect()} == want
+
+
+def test_continuation_repair(spark):
+    said = ["Are you planning.", "To give the company away for free?", "I know.", "To be honest, why?", "You came.", "Don't you see me!", "Go.", "To stop him.", "He left.", "And why?", "She can.", "can't she?", "Late.", "Won't you?", "Stay.", None, "Isn't it?"]
+    gaps = {13: 501, 11: 500}
+    rows, at = [], 0
+    for k, t in enumerate(said):
+        at += gaps.get(k, 100)
+        rows.append(("e", k, at, at + 1000, t))
+        at += 1000
+    rows += [("f", 0, None, None, "So."), ("f", 1, 10, 20, "To go?")]
+    df = spark.createDataFrame(rows, "ep string, id int, s long, e long, t string")
+    got = {(r.ep, r.id): r.t for r in sq.continuation_repair(df, ["ep"], "id", "s", "e", "t").collect()}
+    want = {(r[0], r[1]): r[4] for r in rows} | {("e", 0): "Are you planning", ("e", 1): "to give the company away for free?", ("e", 4): "You came", ("e", 5): "don't you see me!", ("e", 10): "She can"}
+    assert got == want
