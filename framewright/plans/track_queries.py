@@ -298,6 +298,11 @@ def flt_03_over_long(spark, sf):
     return b.asr(spark, sf).filter(F.col("end_ms") - F.col("start_ms") <= 4000).select("ep_id", "id")
 
 
+@query(f"WITH {b.ASR} SELECT ep_id, id FROM asr WHERE end_ms - start_ms <= 8000")
+def flt_03_within_8_seconds(spark, sf):
+    return b.asr(spark, sf).filter(F.col("end_ms") - F.col("start_ms") <= 8000).select("ep_id", "id")
+
+
 @query(f"WITH {b.SEG} SELECT ep_id, id, row_number() OVER (PARTITION BY ep_id ORDER BY id) - 1 AS new_id FROM seg WHERE end_ms - start_ms >= 400")
 def flt_04_min_duration(spark, sf):
     kept = b.segments(spark, sf).filter(F.col("end_ms") - F.col("start_ms") >= 400).select("ep_id", "id")
