@@ -78,10 +78,13 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p5_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every frame run, single frames too, with its count and duration in ms."""
-    frames = table(spark, sf_dir, "ocr_frame").withColumn("t_ms", ms(F.col("frame_time")))
-    runs = collapse_runs(frames, "ep_id", "ordinal", "combined_text", score="avg_confidence", at="t_ms")
-    return runs.select("ep_id", "first_no", "last_no", F.col("n_records").alias("n_frames"), F.col("first_at").alias("start_ms"), (F.col("last_at") - F.col("first_at")).alias("duration_ms"))
+    """Every run of frames and of blocks, single records too, with its number of frames and duration in ms (a block run ends with its last block)."""
+    frames = table(spark, sf_dir, "ocr_frame").withColumn("t_ms", ms(F.col("frame_time"))).withColumn("span", F.struct(F.col("t_ms").alias("s"), F.col("t_ms").alias("e")))
+    blocks = table(spark, sf_dir, "ocr_block").withColumn("span", F.struct(ms(F.col("start_s")).alias("s"), ms(F.col("end_s")).alias("e")))
+    frames = collapse_runs(frames, "ep_id", "ordinal", "combined_text", score="avg_confidence", at="span")
+    blocks = collapse_runs(blocks, "ep_id", "block_no", "combined_text", weight="frame_count", at="span")
+    tracks = [t.select("ep_id", F.lit(name).alias("track"), "first_no", "last_no", F.col("n_weight").alias("n_frames"), F.col("first_at.s").alias("start_ms"), (F.col("last_at.e") - F.col("first_at.s")).alias("duration_ms")) for t, name in ((frames, "frame"), (blocks, "block"))]
+    return tracks[0].unionByName(tracks[1])
 
 
 def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
@@ -105,8 +108,20 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Language and confidence of every document (para_no 0) and of every paragraph of a mixed one."""
-    return _labelled(spark, sf_dir)[0].select("doc_id", "para_no", "found_lang", "confidence", "mixed", "label")
+    """Language and confidence of every document (para_no 0) and of every paragraph of a mixed one; script and confidence of every episode.
+
+    An episode without letters in its speech has a null script and confidence 0.
+    """
+    labelled, net = _labelled(spark, sf_dir)
+    docs = labelled.select(F.lit("document").alias("rec_kind"), "doc_id", F.lit(None).cast("string").alias("ep_id"), "para_no", "found_lang", "confidence", "mixed", "label")
+    speech = table(spark, sf_dir, "asr_segment").select("ep_id", "text")
+    known = table(spark, sf_dir, "episode_result").groupBy("ep_id").agg(F.max("dominant").alias("label"))
+    every = speech.select("ep_id").distinct().join(known, "ep_id", "full").filter("ep_id is not null")
+    episodes = every.join(script_of_groups(speech, "ep_id", "text", net), "ep_id", "left").select(
+        F.lit("episode").alias("rec_kind"), F.lit(None).cast(labelled.schema["doc_id"].dataType).alias("doc_id"), "ep_id", F.lit(0).alias("para_no"),
+        F.col("script").alias("found_lang"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), F.lit(False).alias("mixed"), "label",
+    )
+    return docs.unionByName(episodes)
 
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ import pandas as pd
 
 from framewright.llm import gru, language
 from framewright.llm.language import judge, label_documents, letter_bytes, paragraphs, script_of_groups, short_evidence, windows
-from framewright.llm.queries import p6_found
+from framewright.llm.queries import p6_found, p6_languages
 
 
 def test_gradients():
@@ -100,3 +100,9 @@ def test_no_language_is_lost(monkeypatch):
     data = pd.DataFrame([(k, t, lang) for k, (lang, t) in enumerate(texts(60, 2))], columns=["k", "text", "lang"])
     language.train_network(data, ("en", "es", "de"))
     assert rounds == [{0, 1, 2}, {0, 1, 2}]
+
+
+def test_script_of_every_episode(spark, sf_dir):
+    got = p6_languages(spark, sf_dir).filter("rec_kind = 'episode'").collect()
+    want = {r.ep_id for t in ("asr_segment", "episode_result") for r in spark.read.parquet(f"{sf_dir}/{t}.parquet").select("ep_id").distinct().collect()} - {None}
+    assert len(got) == len(want) and {r.ep_id for r in got} == want and {r.found_lang for r in got} <= {"cjk", "latin", None}

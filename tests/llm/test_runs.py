@@ -77,3 +77,12 @@ def test_edge_cases(spark):
     got = sorted((r.first_no, r.last_no, r.n_records) for r in collapse_runs(df, "ep_id", "ordinal", "combined_text", score="avg_confidence").collect())
     assert got == [(2, 5, 3), (8, 9, 2)]
     assert collapse_runs(df.limit(0), "ep_id", "ordinal", "combined_text").count() == 0
+
+
+def test_durations_of_both_tracks(spark, tmp_path):
+    from framewright.llm.queries import p5_durations
+
+    spark.createDataFrame([("e", 0, 0.0, "Hello there", 0.9), ("e", 1, 0.2, "Hello there", 0.9), ("e", 2, 0.4, "Bye now", 0.9)], "ep_id string, ordinal int, frame_time double, combined_text string, avg_confidence double").write.parquet(f"{tmp_path}/ocr_frame.parquet")
+    spark.createDataFrame([("e", 1, 1.0, 2.0, "Hello there", 3), ("e", 2, 2.5, 4.25, "Hello there", 4), ("e", 3, 5.0, 6.0, "Bye now", 2)], "ep_id string, block_no int, start_s double, end_s double, combined_text string, frame_count int").write.parquet(f"{tmp_path}/ocr_block.parquet")
+    got = sorted((r.track, r.first_no, r.last_no, r.n_frames, r.start_ms, r.duration_ms) for r in p5_durations(spark, str(tmp_path)).collect())
+    assert got == [("block", 1, 2, 7, 1000, 3250), ("block", 3, 3, 2, 5000, 1000), ("frame", 0, 1, 2, 0, 200), ("frame", 2, 2, 1, 400, 0)]
