@@ -141,6 +141,11 @@ def fn_25_prompt_head(spark, sf):
     return b.asr(spark, sf).filter("text is not null").select("ep_id", "id", F.substring(F.replace("text", F.lit("\n"), F.lit("\\n")), 1, 80).alias("prompt"))
 
 
+@query(f"WITH {b.ASR} SELECT ep_id, id, replace(substr(text, 1, 800), chr(10), '\\n') AS prompt FROM asr WHERE text IS NOT NULL")
+def fn_25_prompt_head_800(spark, sf):
+    return b.asr(spark, sf).filter("text is not null").select("ep_id", "id", F.replace(F.substring("text", 1, 800), F.lit("\n"), F.lit("\\n")).alias("prompt"))
+
+
 @query(f"WITH {b.ASR} SELECT ep_id, id, 'Episode ' || ep_id || ', line ' || CAST(id AS VARCHAR) || ': ' || coalesce(text, '') AS prompt FROM asr")
 def fn_29_template(spark, sf):
     out = F.lit("Episode {ep}, line {id}: {text}")
