@@ -106,3 +106,46 @@ def test_script_of_every_episode(spark, sf_dir):
     got = p6_languages(spark, sf_dir).filter("rec_kind = 'episode'").collect()
     want = {r.ep_id for t in ("asr_segment", "episode_result") for r in spark.read.parquet(f"{sf_dir}/{t}.parquet").select("ep_id").distinct().collect()} - {None}
     assert len(got) == len(want) and {r.ep_id for r in got} == want and {r.found_lang for r in got} <= {"cjk", "latin", None}
+
+
+def test_a_network_gone_astray_is_not_chosen():
+    data = texts(240, 3)
+    held = pd.DataFrame([(k, t.replace(". ", ".\n\n"), lang) for k, (lang, t) in enumerate(data)], columns=["k", "text", "lang"])
+    names = ("en", "es", "de", "zh")
+
+    def fake(astray):
+        return {"o": np.zeros(4), "astray": astray}
+
+    def scored(docs, net):
+        out = []
+        for parts in docs:
+            s = np.zeros((len(parts), 4))
+            for i, p in enumerate(parts):
+                lang = next(n for n, (x, t) in enumerate((n, t) for n, t in bank.items()) if p.strip(". ") in t)
+                s[i] = -300
+                s[i, (lang + 1) % 4 if net["astray"] and "river" in p else lang] = 0
+            out.append(s)
+        return out
+
+    bank = {lang: " ".join(t for x, t in data if x == lang) for lang in names}
+    was, language.score_texts = language.score_texts, scored
+    try:
+        got = language.choose_network([fake(True), fake(False), fake(False)], held, names)
+        alone = language.choose_network([fake(True)], held, names)
+    finally:
+        language.score_texts = was
+    assert not got["astray"] and got["off"][0] > 0 == got["off"][1] and got["wrong"].min() == 0
+    assert alone["off"].tolist() == [0]
+
+
+def test_unseen_phrases(spark):
+    """Whole phrases left out of the labelled documents are still read right, mostly."""
+    data = texts(400, 7)
+    unseen = ("waiting outside", "esperas fuera", "wartest du", "外面等")
+    seen = [(k, t, lang) for k, (lang, t) in enumerate(data) if not any(u in t for u in unseen)]
+    rest = [(1000 + k, t, None) for k, (lang, t) in enumerate(data) if any(u in t for u in unseen)]
+    df = spark.createDataFrame(seen + rest, "doc_id long, text string, lang string")
+    got, net = label_documents(df, "doc_id", "text", "lang", languages=("en", "es", "de", "zh"))
+    assert {"strict", "off", "wrong"} <= set(net) and len(net["off"]) == language.CANDIDATES
+    said = {r.doc_id: r.found_lang for r in got.filter("para_no = 0").collect()}
+    assert sum(said[1000 + k] == lang for k, (lang, t) in enumerate(data) if 1000 + k in said) >= 0.9 * len(rest)
