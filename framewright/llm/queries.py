@@ -9,7 +9,7 @@ from framewright.llm.language import label_documents, script_of_groups
 from framewright.llm.lookalike import canonical_form, same_look_pairs
 from framewright.llm.mixing import mix_plan, reached_shares, sample_mix
 from framewright.llm.nearest import nearest_within
-from framewright.llm.reading import DEMANDING, grade_documents
+from framewright.llm.reading import DEMANDING, errors_by_source, fit_levels, grade_documents
 from framewright.llm.runs import collapse_runs
 from framewright.llm.tokens import encode_corpus, token_counts, vocabulary
 from framewright.llm.truncation import find_truncated
@@ -91,6 +91,11 @@ def _labelled(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, dict]:
     return label_documents(table(spark, sf_dir, "documents"), "doc_id", "text", "lang")
 
 
+def _speech(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each speech record once, so that a late copy has no second vote."""
+    return one_per_key(table(spark, sf_dir, "asr_segment").select("ep_id", "id", "text"), ["ep_id", "id"])
+
+
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents with a missing or wrong label, all paragraphs of mixed documents, episodes with a wrong script."""
     labelled, net = _labelled(spark, sf_dir)
@@ -99,8 +104,7 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = labelled.filter(F.col("found_lang").isNotNull() & wrong)
     docs = docs.select(F.lit("document").alias("rec_kind"), F.col("doc_id").cast("string").alias("rec_id"), "para_no", "found_lang")
 
-    speech = table(spark, sf_dir, "asr_segment").select("ep_id", "text")
-    scripts = script_of_groups(speech, "ep_id", "text", net)
+    scripts = script_of_groups(_speech(spark, sf_dir), "ep_id", "text", net)
     dominant = F.lower(F.trim(F.coalesce("dominant", F.lit(""))))
     episodes = table(spark, sf_dir, "episode_result").select("ep_id", "dominant").dropDuplicates(["ep_id"]).join(scripts, "ep_id")
     episodes = episodes.filter(dominant != F.col("script")).select(F.lit("episode").alias("rec_kind"), F.col("ep_id").alias("rec_id"), F.lit(0).alias("para_no"), F.col("script").alias("found_lang"))
@@ -114,7 +118,7 @@ def p6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     labelled, net = _labelled(spark, sf_dir)
     docs = labelled.select(F.lit("document").alias("rec_kind"), "doc_id", F.lit(None).cast("string").alias("ep_id"), "para_no", "found_lang", "confidence", "mixed", "label")
-    speech = table(spark, sf_dir, "asr_segment").select("ep_id", "text")
+    speech = _speech(spark, sf_dir)
     known = table(spark, sf_dir, "episode_result").groupBy("ep_id").agg(F.max("dominant").alias("label"))
     every = speech.select("ep_id").distinct().join(known, "ep_id", "full").filter("ep_id is not null")
     episodes = every.join(script_of_groups(speech, "ep_id", "text", net), "ep_id", "left").select(
@@ -160,9 +164,12 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reached_shares(*_mix(spark, sf_dir))
 
 
+def _grades(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "reading_label").select("doc_id", F.col("reading_level").alias("grade"))
+
+
 def _graded(spark: SparkSession, sf_dir: str, every: bool = False) -> DataFrame:
-    labels = table(spark, sf_dir, "reading_label").select("doc_id", F.col("reading_level").alias("grade"))
-    return grade_documents(table(spark, sf_dir, "documents"), labels, "doc_id", "text", "source", "grade", every=every)[0]
+    return grade_documents(table(spark, sf_dir, "documents"), _grades(spark, sf_dir), "doc_id", "text", "lang", "source", "grade", every=every)[0]
 
 
 def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,6 +183,12 @@ def p10_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("level").alias("mean_level"), *[F.count_if(F.round("level").cast("int") == k).alias(f"n_level_{k}") for k in (1, 2, 3)])
 
 
+def p10_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Graded documents of each source, mean absolute error and share of right levels while that source was held out."""
+    model = fit_levels(table(spark, sf_dir, "documents"), _grades(spark, sf_dir), "doc_id", "text", "source", "grade")
+    return spark.createDataFrame(errors_by_source(model), "source string, n_graded int, mean_error double, share_right double")
+
+
 P7_SQL = """
 WITH a AS (SELECT DISTINCT ep_id, id, CAST(round(start_s * 1000) AS BIGINT) AS s, CAST(round(end_s * 1000) AS BIGINT) AS e FROM asr_segment),
 b AS (SELECT DISTINCT ep_id, block_no, CAST(round(start_s * 1000) AS BIGINT) AS s, CAST(round(end_s * 1000) AS BIGINT) AS e FROM ocr_block),
@@ -187,5 +200,5 @@ near AS (
 SELECT ep_id, asr_id, block_no FROM near WHERE r = 1
 """
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p3_speech": p3_speech, "p4_found": p4_found, "p4_rates": p4_rates, "p5_found": p5_found, "p5_durations": p5_durations, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_profile": p10_profile}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p3_speech": p3_speech, "p4_found": p4_found, "p4_rates": p4_rates, "p5_found": p5_found, "p5_durations": p5_durations, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_profile": p10_profile, "p10_errors": p10_errors}
 ORACLE_SQL = {"p7_found": P7_SQL}

@@ -2,7 +2,9 @@
 
 Gradient-boosted regression trees (llm.boosting) over distributions of sentence and word length, vocabulary, syntax and
 cohesion, trained on the graded documents. Each source is held out in turn; the held-out predictions calibrate the
-grades (isotonic regression) and give the error by source.
+grades (isotonic regression) and give the error by source. The level is the calibrated prediction; the raw one, which
+also keeps documents of one level apart, stands beside it. Which language a text is in, and whether in one, the network
+of problem 6 says (llm.language).
 
 With ``every``, texts that are not in English throughout get a level too: from trees over the measures that other languages
 share (length, vocabulary, binding words, cohesion), trained on the same graded documents, each paragraph read with the
@@ -11,8 +13,8 @@ so the error of these levels is known for English only.
 
 Defined cases: null, empty and blank texts have a null level, and without ``every`` so have texts that are not in English
 throughout; with it a text without a word has the lowest level; null grades and grades of unknown documents don't train;
-repeated keys are one document, a null key takes no part; long texts are measured whole; without any grade every level is
-null; an empty table gives no rows.
+graded texts are English by definition; repeated keys are one document, a null key takes no part; long texts are measured
+whole; without any grade every level is null; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -29,23 +31,24 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from framewright.llm import boosting
-from framewright.llm.language import paragraphs, spoken
+from framewright.llm.language import LANGUAGES, fit_network, paragraphs, spoken, verdicts
 from framewright.llm.sampling import bounded_sample
 from framewright.operators.dedup import one_per_key
 
 SAMPLE = 10_000  # graded documents the trees are fitted on, about; twice that at most
 DEMANDING = 2.5
+ENGLISH = LANGUAGES.index("en")
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 _END = re.compile(r"[.!?…]+[\"”’)]*(?:\s+|$)|\n+")
 _VOWELS = re.compile(r"[aeiouy]+")
-# Frequent function words that tell languages apart, and words that bind clauses.
+# Function words of each language, which the measures keep apart from words of content, and words that bind clauses.
 FUNCTION_WORDS = {
     "en": "the of and to a in that is was he for it with as his on be at by i this had not but from they she which you her were would there been their who what if out so up said when will more no them can just into your about did me my we him then an are or do does how all any has have its let look call why".split(),
-    "es": "de la que el en y a los del se las por un para con no una su al lo como más pero sus le ya o este sí porque esta entre cuando muy sin sobre también me hasta hay donde quien mi tu qué ese aquel nadie jamás si ayer vi es sigue".split(),
-    "pt": "de a o que e do da em um para é com não uma os no se na por mais as dos como mas foi ao ele das tem à seu sua ou ser quando muito há nos já está eu também só pelo pela até isso ela entre era depois sem mesmo aos ter seus quem nas me esse eles você meu minha teu tua ninguém".split(),
-    "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se le ce il sont la avec elle son mais je nous vous ou si leur y dont tout on ma mon ta ton sa cette aux d l c qu n s j jamais personne pourquoi rien".split(),
-    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach wird bei einer um am sind noch wie einem über einen so zum war haben nur oder aber vor zur bis mehr durch man sein wurde sei ich wir mein dein kein warum wer was".split(),
+    "es": "de la que el en y a los del se las por un para con no una su al lo como más pero sus le ya o este sí porque esta entre cuando muy sin sobre también me hasta hay donde quien mi tu qué ese si es".split(),
+    "pt": "de a o que e do da em um para é com não uma os no se na por mais as dos como mas foi ao ele das tem à seu sua ou ser quando muito há nos já está eu também só pelo pela até isso ela entre era depois sem mesmo aos ter seus quem nas me esse eles você meu minha teu tua".split(),
+    "fr": "de la le et les des en un du une que est pour qui dans a par plus pas au sur ne se le ce il sont la avec elle son mais je nous vous ou si leur y dont tout on ma mon ta ton sa cette aux d l c qu n s j".split(),
+    "de": "der die und in den von zu das mit sich des auf für ist im dem nicht ein eine als auch es an werden aus er hat dass sie nach wird bei einer um am sind noch wie einem über einen so zum war haben nur oder aber vor zur bis mehr durch man sein wurde sei ich wir mein dein kein".split(),
 }
 CONNECTIVES = frozenset("because although though however therefore thus hence whereas unless until while since moreover nevertheless consequently thereby lest whether such whose whom which upon whereby".split())
 COORDINATORS = frozenset("and but or so then".split())
@@ -53,49 +56,10 @@ _LANG = {name: frozenset(words) for name, words in FUNCTION_WORDS.items()}
 _EN = _LANG["en"]
 
 
-_FOREIGN = re.compile("[⺀-鿿가-힣\u0400-\u04ff豈-﫿]")
-_OWNER: dict[str, tuple[int, ...]] = {}
-for _i, _k in enumerate(_LANG):
-    for _w in _LANG[_k]:
-        _OWNER[_w] = (*_OWNER.get(_w, ()), _i)
-
-
-def _english_words(words: list[str]) -> bool:
-    """Whether function words let a passage pass as English."""
-    hits = [0] * len(_LANG)
-    for w in words:
-        for i in _OWNER.get(w, ()):
-            hits[i] += 1
-    en, other = hits[0], max(hits[1:])
-    if other <= en and other < 2:
-        return True
-    accents = sum(not w.isascii() for w in words)
-    room = 1 if len(words) < 14 and accents <= 1 else 0  # one shared form in a short line says little
-    return not (other > en + room or other >= en and accents > 0.08 * len(words) and (len(words) >= 14 or other >= 2))
-
-
 def spoken_parts(text: str) -> list[str]:
     return [spoken(p) for p in paragraphs(text)]
 
 
-def is_english(text: str, parts: list[str] | None = None) -> bool:
-    """Whether every paragraph with enough words reads as English by its function words and script."""
-    parts = spoken_parts(text) if parts is None else parts
-    whole = "\n".join(parts)
-    foreign = bool(_FOREIGN.search(whole))
-    every: list[str] = []
-    for p in parts:
-        if foreign:
-            n = len(_FOREIGN.findall(p))
-            if n >= 4 and n > 0.15 * sum(c.isalpha() for c in p):
-                return False
-        words = [w.lower() for w in _WORD.findall(p)]
-        every += words
-        if len(words) >= 5 and not _english_words(words):
-            return False
-    return bool(every) and (len(every) < 5 or _english_words(every))
-
-
 def _syllables(word: str) -> int:
     return max(1, len(_VOWELS.findall(word)) - (word.endswith("e") and not word.endswith("le")))
 
@@ -176,12 +140,6 @@ _END_ANY = re.compile(r"[.!?…]+[\"”’)]*(?:\s+|$)|[。！？；…]+[\"”
 _COMMA = re.compile("[,;:，、：]")
 
 
-def tongue(words: list[str], fallback: str = "en") -> str:
-    """The language whose function words a passage in Latin letters has most of."""
-    hits = Counter(i for w in words for i in _OWNER.get(w, ()))
-    return max(_LANG, key=lambda k: (hits[list(_LANG).index(k)], k == fallback)) if hits else fallback
-
-
 def _cut_words(sentence: str) -> list[str]:
     """Words in small letters; Han text is cut at its function words, what lies between them into at most four characters."""
     out = []
@@ -199,17 +157,15 @@ def _cut_words(sentence: str) -> list[str]:
     return out
 
 
-def shared_measures(parts: list[str]) -> np.ndarray | None:
-    """Length, vocabulary, binding and cohesion of a text of any language or several; None without a word."""
-    read = [[(w, len(_COMMA.findall(s))) for s in _END_ANY.split(p) if s and (w := _cut_words(s))] for p in parts]
-    main = tongue([w for p in read for s, _ in p for w in s])
+def shared_measures(parts: list[str], tongues: list[str]) -> np.ndarray | None:
+    """Length, vocabulary, binding and cohesion of a text whose paragraphs are in ``tongues``; None without a word."""
     facts, commas = [], []
-    for p in read:
-        words = [w for s, _ in p for w in s]
-        k = tongue(words, main) if len(words) >= 8 else main
-        for s, c in p:
-            commas.append(c)
-            facts.append([(w, len(w) * LETTERS[z], w not in (ZH_WORDS if z == "zh" else _LANG[z]), w in BINDERS[z], w in JOINERS[z]) for w in s for z in ["zh" if _HAN.search(w) else k]])
+    for p, k in zip(parts, tongues):
+        for s in _END_ANY.split(p):
+            words = _cut_words(s) if s else []
+            if words:
+                commas.append(len(_COMMA.findall(s)))
+                facts.append([(w, len(w) * LETTERS[z], w not in (ZH_WORDS if z == "zh" else _LANG[z]), w in BINDERS[z], w in JOINERS[z]) for w in words for z in ["zh" if _HAN.search(w) else "en" if k == "zh" else k]])
     if not facts:
         return None
     flat = [f for s in facts for f in s]
@@ -244,36 +200,59 @@ def train_levels(x: np.ndarray, y: np.ndarray, sources: list[str]) -> dict:
     return model
 
 
-def grade_documents(docs: DataFrame, labels: DataFrame, key: str, text: str, source: str, grade: str, sample: int = SAMPLE, every: bool = False) -> tuple[DataFrame, dict | None]:
-    """Rows ``key``, source, english, level (calibrated, 1 to 3; with ``every`` for texts of any language), and the model with its held-out errors."""
+def grade_documents(docs: DataFrame, labels: DataFrame, key: str, text: str, lang: str, source: str, grade: str, sample: int = SAMPLE, every: bool = False, net: dict | None = None) -> tuple[DataFrame, dict | None]:
+    """Rows ``key``, source, english, level (calibrated, 1 to 3; with ``every`` for texts of any language), raw_level; and the model with its held-out errors.
+
+    ``net`` is the network that tells languages apart; without it one is trained on the labelled documents.
+    """
     kind = dict(docs.dtypes)[key]
     rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text"), F.col(source).alias("src")).filter("k is not null")
-    graded = labels.filter(F.col(grade).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.max(grade).cast("double").alias("y"))
-    learn = rows.filter("text is not null").join(bounded_sample(graded, ["k"], sample), "k").dropDuplicates(["k"]).toPandas().sort_values("k", kind="stable")
-    learn = learn[[is_english(t) for t in learn["text"]]]
-    model = train_levels(np.array([measures(t) for t in learn["text"]]), learn["y"].to_numpy(), [s if isinstance(s, str) else "" for s in learn["src"]]) if len(learn) else None
-    if model and every:
-        x = [shared_measures(spoken_parts(t)) for t in learn["text"]]  # an English text has a word
-        model["shared"] = train_levels(np.array(x), learn["y"].to_numpy(), [s if isinstance(s, str) else "" for s in learn["src"]])
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # at most 80 trees of 15 nodes, with ``every`` twice that
+    model = fit_levels(docs, labels, key, text, source, grade, sample, every)
+    net = net or fit_network(docs, key, text, lang)
+    shared = docs.sparkSession.sparkContext.broadcast((model, net))  # at most 80 trees of 15 nodes, with ``every`` twice that, and one network
 
     def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        m = shared.value
+        m, network = shared.value
         for b in batches:
-            parts = [spoken_parts(t) if isinstance(t, str) else [] for t in b["text"]]
-            ok = [bool(p) and is_english("", p) for p in parts]
-            level = np.full(len(b), np.nan)
-            todo = [(m, {i: measures("", parts[i]) for i in np.flatnonzero(ok)})] if m is not None else []
-            if m is not None and every:
-                rest = {i: shared_measures(p) for i, p in enumerate(parts) if p and not ok[i]}
-                level[[i for i, x in rest.items() if x is None]] = 1.0
-                todo.append((m["shared"], {i: x for i, x in rest.items() if x is not None}))
-            for own, of in todo:
-                if of:
-                    raw = boosting.predict(own, np.array(list(of.values())))
-                    # Between calibrated levels the raw score keeps documents apart.
-                    level[list(of)] = np.clip(0.5 * np.interp(raw, own["knots"], own["levels"]) + 0.5 * raw, 1, 3)
-            yield pd.DataFrame({"k": b["k"], "src": b["src"], "english": ok, "level": [None if np.isnan(v) else float(v) for v in level]})
-
-    done = one_per_key(rows, ["k"]).mapInPandas(rate, f"k {kind}, src string, english boolean, level double")
+            whole = [paragraphs(t) if isinstance(t, str) else [] for t in b["text"]]
+            said = verdicts(whole, network)
+            ok = np.array([main == ENGLISH and not mixed for main, _, mixed, _ in said], dtype=bool)
+            level, plain = np.full(len(b), np.nan), np.full(len(b), np.nan)
+            if m is not None:
+                todo = [(m, {i: measures("", [spoken(p) for p in whole[i]]) for i in np.flatnonzero(ok)})]
+                if every:
+                    rest = {i: shared_measures([spoken(p) for p in whole[i]], [LANGUAGES[c] for c, _ in said[i][3]]) for i in np.flatnonzero(~ok) if whole[i]}
+                    level[[i for i, x in rest.items() if x is None]] = 1.0
+                    todo.append((m["shared"], {i: x for i, x in rest.items() if x is not None}))
+                for own, of in todo:
+                    if of:
+                        at = list(of)
+                        plain[at] = boosting.predict(own, np.array(list(of.values())))
+                        level[at] = np.clip(np.interp(plain[at], own["knots"], own["levels"]), 1, 3)
+            null = lambda x: [None if np.isnan(v) else float(v) for v in x]
+            yield pd.DataFrame({"k": b["k"], "src": b["src"], "english": ok, "level": null(level), "raw_level": null(plain)})
+
+    done = one_per_key(rows, ["k"]).mapInPandas(rate, f"k {kind}, src string, english boolean, level double, raw_level double")
     return done.withColumnRenamed("k", key).withColumnRenamed("src", source), model
+
+
+def fit_levels(docs: DataFrame, labels: DataFrame, key: str, text: str, source: str, grade: str, sample: int = SAMPLE, every: bool = False) -> dict | None:
+    """The trees of ``grade_documents``, fitted on a bounded sample of the graded documents; ``errors`` by held-out source."""
+    rows = docs.select(F.col(key).alias("k"), F.col(text).alias("text"), F.col(source).alias("src")).filter("k is not null")
+    graded = labels.filter(F.col(grade).isNotNull()).groupBy(F.col(key).alias("k")).agg(F.max(grade).cast("double").alias("y"))
+    learn = rows.filter(F.col("text").rlike(r"\p{L}")).join(bounded_sample(graded, ["k"], sample), "k").dropDuplicates(["k"]).toPandas().sort_values("k", kind="stable")
+    if not len(learn):
+        return None
+    y, sources = learn["y"].to_numpy(), [s if isinstance(s, str) else "" for s in learn["src"]]
+    parts = [spoken_parts(t) for t in learn["text"]]
+    model = train_levels(np.array([measures("", p) for p in parts]), y, sources)
+    if every:
+        x = [shared_measures(p, ["en"] * len(p)) for p in parts]
+        has = np.array([v is not None for v in x])
+        model["shared"] = train_levels(np.array([v for v in x if v is not None]), y[has], [s for s, h in zip(sources, has) if h])
+    return model
+
+
+def errors_by_source(model: dict | None) -> list[tuple[str, int, float, float]]:
+    """(source, graded documents, mean absolute error, share of right levels) with the source held out."""
+    return [(s, n, e, r) for s, (n, e, r) in sorted(model["errors"].items())] if model else []
