@@ -2,8 +2,9 @@
 
 Two-level merge. Each interval is clipped at the borders of fixed time shards into at most a head, a tail and one
 middle that covers whole shards. Heads and tails merge locally per (group, shard). Local periods away from every border
-are final; those that touch a border, and the middles, are stitched per group and coalesced. The stitch sees at most two
-periods a shard, so no task holds all intervals of a long entity.
+are final; those that touch a border, and the middles, are stitched per group and coalesced. Of the middles that begin at
+one shard only the longest stays, so the stitch sees at most two periods and one middle a shard, and no task holds all
+intervals of a long entity.
 
 Defined cases: a null time, NaN, or an end at or before its start is no interval; repeated rows and ties count once;
 an empty table gives no rows; an interval of any length makes at most three pieces; other columns are ignored; a null
@@ -44,7 +45,7 @@ def merge_intervals(df: DataFrame, keys: Sequence[str], start: str, end: str, sh
     clipped = iv.select(*keys, F.inline(pieces))
 
     local = _islands(clipped.filter("not mid").select(*keys, "shard", "s", "e"), [*keys, "shard"])
-    middles = clipped.filter("mid").select(*keys, "s", "e").distinct()
+    middles = clipped.filter("mid").groupBy(*keys, "s").agg(F.max("e").alias("e"))  # the others of its start lie within
 
     # Shards that lie wholly under a middle: their local periods are covered. One row a shard and two a middle.
     marks = middles.select(*keys, F.inline(F.array(F.struct(F.col("s").alias("at"), F.lit(1).alias("step"), F.lit(None).cast("bigint").alias("shard")), F.struct(F.col("e").alias("at"), F.lit(-1).alias("step"), F.lit(None).cast("bigint").alias("shard")))))

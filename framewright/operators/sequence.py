@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from framewright.functions.text import normalise_line
 from framewright.operators.sharding import fill_before, lead_over, running_sum
 
 SHARD = 4096
@@ -113,23 +114,30 @@ def long_split(text: Column, start: Column, end: Column, limit: int = 25, margin
 def merge_artifacts(df: DataFrame, keys: Sequence[str], order: str, start: str, end: str, text: str, short_ms: int = 200, gap_ms: int = 3000) -> DataFrame:
     """Neighbours of one text become one if either is short or the gap small; the merged end is the later row's.
 
-    Only rows of one text can merge, so the fold runs inside equality chains.
+    Neighbours of one text that are close, or of which the later is short, join whatever came before; such stretches are
+    aggregated first. Only the borders between stretches ask how long the merged row is by then: the fold sees one row a stretch.
     """
     keys = list(keys)
-    rows = previous(df.filter(F.col(start).isNotNull() & F.col(end).isNotNull()), keys, order, F.col(text), "__p")
-    rows = chains(rows, keys, order, F.col("__p").isNull() | ~F.col("__p.v").eqNullSafe(F.col(text)), "__c")
-    item = F.struct(F.col(order).alias("o"), F.col(start).alias("s"), F.col(end).alias("e"))
-    listed = rows.groupBy(*keys, "__c").agg(F.first(text).alias(text), F.array_sort(F.collect_list(item)).alias("x"))
-    kind = "array<struct<s:bigint,e:bigint,n:int>>"
+    rows = previous(df.filter(F.col(start).isNotNull() & F.col(end).isNotNull()), keys, order, F.struct(F.col(text).alias("t"), F.col(end).alias("e")), "__p")
+    other = F.col("__p").isNull() | ~F.col("__p.v.t").eqNullSafe(F.col(text))
+    joins = (F.col(end) - F.col(start) < short_ms) | (F.col(start) - F.col("__p.v.e") <= gap_ms)
+    rows = chains(rows.withColumn("__o", other), keys, order, F.col("__o") | ~joins, "__h")
+    parts = rows.groupBy(*keys, "__h").agg(F.first(text).alias(text), F.min_by(start, order).alias(start), F.max_by(end, order).alias(end), F.count(F.lit(1)).cast("int").alias("n_merged"), F.max("__o").alias("__o"))
+    parts = chains(parts, keys, "__h", F.col("__o"), "__c")
+    fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    schema = ", ".join(f"`{k}` {fields[k]}" for k in keys) + f", {start} bigint, {end} bigint, {text} string, n_merged int"
 
-    def step(acc: Column, r: Column) -> Column:
-        last = F.element_at(acc, -1)
-        joins = (F.size(acc) > 0) & ((last["e"] - last["s"] < short_ms) | (r["e"] - r["s"] < short_ms) | (r["s"] - last["e"] <= gap_ms))
-        one = lambda s, e, n: F.array(F.struct(s.alias("s"), e.alias("e"), n.cast("int").alias("n")))
-        return F.when(joins, F.concat(F.slice(acc, F.lit(1), F.size(acc) - 1), one(last["s"], r["e"], last["n"] + 1))).otherwise(F.concat(acc, one(r["s"], r["e"], F.lit(1)))).cast(kind)
+    def fold(g: pd.DataFrame) -> list[list]:
+        key, out = [g[k].iloc[0] for k in keys], []
+        for s, e, t, n in zip(g[start], g[end], g[text], g["n_merged"]):
+            last = out[-1] if out else None
+            if last and last[1] - last[0] < short_ms:
+                last[1], last[3] = e, last[3] + n
+            else:
+                out.append([s, e, t, n])
+        return [key + r for r in out]
 
-    folded = listed.withColumn("y", F.aggregate("x", F.array().cast(kind), step))
-    return folded.select(*keys, text, F.inline("y")).select(*keys, F.col("s").alias(start), F.col("e").alias(end), text, F.col("n").alias("n_merged"))
+    return fold_chains(parts.select(*keys, "__c", "__h", start, end, text, "n_merged"), keys, "__h", fold, schema)
 
 
 def ratio(a: str, b: str) -> float:
@@ -141,35 +149,41 @@ def ratio(a: str, b: str) -> float:
     return difflib.SequenceMatcher(None, a, b).ratio()
 
 
+def alike(a: str, b: str, near: float) -> bool:
+    """Whether ``ratio`` is at least ``near``; its cheap upper bounds are asked first."""
+    if a == b:
+        return True
+    if not a or not b or 2.0 * min(len(a), len(b)) / (len(a) + len(b)) < near:
+        return False
+    m = difflib.SequenceMatcher(None, a, b)
+    return m.quick_ratio() >= near and m.ratio() >= near
+
+
 @F.pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else ratio(x, y) for x, y in zip(a, b)], dtype="float64")
 
 
 def similarity_runs(df: DataFrame, keys: Sequence[str], order: str, at: str, text: str, conf: str, fps: int = 5, floor: int = 5500, near: float = 0.85, least_ms: int = 400) -> DataFrame:
-    """Fuzzy frame runs: blank ends, faded (below ``floor``) prolongs, similar extends, better-scored text replaces.
+    """Fuzzy frame runs: blank ends, faded (below ``floor``) prolongs, similar (by the normalised line) extends, better-scored text replaces.
 
     State feeds back only inside stretches without blanks, so those are the groups of the fold.
     """
     keys = list(keys)
     rows = df.withColumn("__blank", F.trim(F.coalesce(text, F.lit(""))) == "")
-    rows = chains(rows, keys, order, F.col("__blank"), "__c").filter("not __blank")
+    rows = chains(rows, keys, order, F.col("__blank"), "__c").filter("not __blank").withColumn("__norm", normalise_line(F.col(text)))
     step = 1000 // fps
     fields = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     schema = ", ".join(f"`{k}` {fields[k]}" for k in keys) + ", start_ms bigint, end_ms bigint, text string, n_frames int, n_normal int, conf_sum bigint"
 
-    def norm(t: str) -> str:
-        return " ".join(t.split()).lower()
-
     def fold(g: pd.DataFrame) -> list[list]:
         key, out, cur = [g[k].iloc[0] for k in keys], [], None
-        for t, txt, c in zip(g[at], g[text], g[conf]):
+        for t, txt, c, n in zip(g[at], g[text], g[conf], g["__norm"]):
             if c < floor:
                 if cur:
                     cur[1], cur[3] = t + step, cur[3] + 1
                 continue
-            n = norm(txt)
-            if cur and ratio(n, cur[6]) >= near:
+            if cur and alike(n, cur[6], near):
                 cur[1] = t + step
                 if c * cur[4] > cur[5]:
                     cur[2], cur[6] = txt, n
@@ -182,7 +196,7 @@ def similarity_runs(df: DataFrame, keys: Sequence[str], order: str, at: str, tex
             out.append(key + cur[:6])
         return out
 
-    runs = fold_chains(rows.select(*keys, "__c", order, at, text, conf), keys, order, fold, schema)
+    runs = fold_chains(rows.select(*keys, "__c", order, at, text, conf, "__norm"), keys, order, fold, schema)
     return runs.filter(F.col("end_ms") - F.col("start_ms") >= least_ms)
 
 
@@ -203,7 +217,7 @@ def dedup_blocks(df: DataFrame, keys: Sequence[str], order: str, start: str, end
         for s, e, t, c in zip(g[start], g[end], g[text], g[conf]):
             t = t or ""
             last = out[-1] if out else None
-            if last and ratio(last[2], t) >= near:
+            if last and alike(last[2], t, near):
                 last[1], last[4] = e, last[4] + 1
                 if c > last[3]:
                     last[2], last[3] = t, c

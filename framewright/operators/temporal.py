@@ -2,7 +2,8 @@
 
 Overlap joins are equi joins on (keys, time bucket): each interval goes to every bucket it touches and a pair is kept
 only in the first bucket both share, so no pair appears twice and nothing has to be made distinct. Intervals that touch
-more than ``WIDE`` buckets take a path of their own, an equi join on the keys alone, on whichever side they are.
+more than ``WIDE`` buckets, on whichever side they are, meet the other side in buckets ``WIDE`` times as long, so no join
+runs on the keys alone and a long group stays spread.
 """
 
 from __future__ import annotations
@@ -31,9 +32,14 @@ def overlap_pairs(left: DataFrame, right: DataFrame, keys: Sequence[str], l_span
     rn = right.filter(~r_wide).withColumn("__b", F.explode(F.sequence("__rb", "__rz")))
     touch = (ls < re_) & (rs < le)
     narrow = ln.join(rn, [*keys, "__b"]).filter(touch & (F.col("__b") == F.greatest("__lb", "__rb"))).drop("__b")
-    wide_left = left.filter(l_wide).join(right, keys).filter(touch)
-    wide_right = left.filter(~l_wide).join(right.filter(r_wide), keys).filter(touch)
-    out = narrow.unionByName(wide_left).unionByName(wide_right)
+
+    def coarse(a: DataFrame, b: DataFrame) -> DataFrame:
+        wide = bucket_ms * WIDE
+        a = a.withColumn("__a", _bucket(ls, wide)).withColumn("__b", F.explode(F.sequence("__a", _bucket(le - 1, wide))))
+        b = b.withColumn("__c", _bucket(rs, wide)).withColumn("__b", F.explode(F.sequence("__c", _bucket(re_ - 1, wide))))
+        return a.join(b, [*keys, "__b"]).filter(touch & (F.col("__b") == F.greatest("__a", "__c"))).drop("__a", "__b", "__c")
+
+    out = narrow.unionByName(coarse(left.filter(l_wide), right)).unionByName(coarse(left.filter(~l_wide), right.filter(r_wide)))
     return out.drop("__lb", "__lz", "__rb", "__rz")
 
 

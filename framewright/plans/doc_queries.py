@@ -122,7 +122,10 @@ def fn_01_overlap_score(spark, sf):
     return rows.select("ep_id", "id", overlap_score(shared, F.col("end_ms") - F.col("start_ms"), F.col("n.end_ms") - F.col("n.start_ms")).alias("score"))
 
 
-@query(f"WITH {b.SEG} SELECT ep_id, id, lower(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(raw_text, '<[^>]+>', '', 'g'), '[♪♫★☆]', '', 'g'), '-\\n', '', 'g'), '[ \\t\\r\\n]+', ' ', 'g'), ' ')) AS form FROM seg")
+_SPACE = "[\\s\\x{1c}-\\x{1f}\\x{85}\\pZ]"
+
+
+@query(f"WITH {b.SEG} SELECT ep_id, id, lower(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(raw_text, '<[^>]+>', '', 'g'), '[{tx.SIGNS}]', '', 'g'), '-{_SPACE}*\\n{_SPACE}*', '', 'g'), '{_SPACE}+', ' ', 'g'), ' ')) AS form FROM seg")
 def fn_06_normalise_line(spark, sf):
     return b.segments(spark, sf).select("ep_id", "id", tx.normalise_line(F.col("raw_text")).alias("form"))
 
@@ -175,9 +178,13 @@ def fn_19_episode_number(spark, sf):
     return table(spark, sf, "episode_result").select("ep_id").distinct().select("ep_id", no.alias("ep_no"), F.coalesce(no.try_cast("int").cast("string"), "ep_id").alias("norm"))
 
 
-@query(f"WITH {b.ASR} SELECT ep_id, id, regexp_matches(text, '[?？!！…]\\s*$') AS suspense, regexp_matches(text, '[.。]\\s*$') AS declarative FROM asr WHERE text IS NOT NULL")
+_SUSPENSE, _CLOSED_HAN, _CLOSED = tx.SUSPENSE, tx.CLOSED_HAN, tx.CLOSED
+
+
+@query(f"WITH {b.ASR} SELECT ep_id, id, regexp_matches(text, '{_SUSPENSE}') AS suspense, CASE WHEN regexp_matches(text, '[\\x{{4E00}}-\\x{{9FFF}}]') THEN regexp_matches(text, '{_CLOSED_HAN}') ELSE regexp_matches(text, '{_CLOSED}') END AS declarative FROM asr WHERE text IS NOT NULL")
 def fn_26_line_classes(spark, sf):
-    return b.asr(spark, sf).filter("text is not null").select("ep_id", "id", F.col("text").rlike(r"[?？!！…]\s*$").alias("suspense"), F.col("text").rlike(r"[.。]\s*$").alias("declarative"))
+    t = F.col("text")
+    return b.asr(spark, sf).filter(t.isNotNull()).select("ep_id", "id", tx.opens_tension(t).alias("suspense"), tx.closes_tension(t).alias("declarative"))
 
 
 @query(f"WITH {b.DOC} SELECT doc_id, coalesce(MAP {{'en': 'English', 'zh': 'Chinese', 'es': 'Spanish', 'pt': 'Portuguese', 'fr': 'French', 'de': 'German'}}[lang], upper(lang)) AS language FROM doc WHERE lang IS NOT NULL")

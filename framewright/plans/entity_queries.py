@@ -135,12 +135,16 @@ def val_06_fingerprint(spark, sf):
     return b.documents(spark, sf).filter(F.col("lang").isNull() | (F.col("lang") == "en")).select("doc_id")
 
 
-@query(f"""WITH {b.SEG}, r AS (SELECT ep_id, id, normalized_text AS t, 1 AS rank_no FROM seg UNION ALL SELECT ep_id, id, raw_text, 2 FROM seg UNION ALL SELECT ep_id, id, '(none)', 3 FROM seg)
-SELECT ep_id, id, arg_min(t, rank_no) AS text, min(rank_no) AS used FROM r WHERE trim(coalesce(t, '')) <> '' GROUP BY 1, 2""")
+@query(f"""WITH {b.SEG}, r AS (SELECT ep_id, id, normalized_text AS t, 1 AS rank_no FROM seg UNION ALL SELECT ep_id, id, raw_text, 2 FROM seg UNION ALL SELECT ep_id, id, '(none)', 3 FROM seg),
+u AS (SELECT ep_id, id, arg_min(t, rank_no) AS text, min(rank_no) AS used FROM r WHERE trim(coalesce(t, ''), ' ') <> '' GROUP BY 1, 2)
+SELECT u.*, CASE WHEN used = 1 THEN '' ELSE CASE WHEN seg.normalized_text IS NULL THEN 'first: missing' ELSE 'first: blank' END || CASE WHEN used = 3 THEN CASE WHEN seg.raw_text IS NULL THEN '; second: missing' ELSE '; second: blank' END ELSE '' END END AS failures FROM u JOIN seg USING (ep_id, id)""")
 def val_07_fallback_chain(spark, sf):
+    """First usable of both forms, else a stand-in, and a record of what failed before it."""
     usable = lambda c: F.trim(F.coalesce(c, F.lit(""))) != ""
     used = F.when(usable("normalized_text"), 1).when(usable("raw_text"), 2).otherwise(3)
-    return b.segments(spark, sf).select("ep_id", "id", F.when(used == 1, F.col("normalized_text")).when(used == 2, F.col("raw_text")).otherwise("(none)").alias("text"), used.alias("used"))
+    why = lambda c: F.when(F.col(c).isNull(), "missing").otherwise("blank")
+    failures = F.when(used == 1, "").when(used == 2, F.concat(F.lit("first: "), why("normalized_text"))).otherwise(F.concat(F.lit("first: "), why("normalized_text"), F.lit("; second: "), why("raw_text")))
+    return b.segments(spark, sf).select("ep_id", "id", F.when(used == 1, F.col("normalized_text")).when(used == 2, F.col("raw_text")).otherwise("(none)").alias("text"), used.alias("used"), failures.alias("failures"))
 
 
 @query(f"WITH {b.ADS} SELECT copy_id, headline AS h, clip_id AS k FROM ads WHERE headline IS NOT NULL")

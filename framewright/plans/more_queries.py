@@ -30,25 +30,47 @@ def query(sql: str | None = None):
 _WIDE = "[\\x{4E00}-\\x{9FFF}\\x{3400}-\\x{4DBF}\\x{F900}-\\x{FAFF}\\x{3000}-\\x{303F}\\x{FF00}-\\x{FFEF}]"
 
 
-@query(f"""WITH {b.ASR}, u AS (SELECT ep_id, id, text, sum(length(text)) OVER (PARTITION BY ep_id ORDER BY id) - length(text) AS before FROM asr WHERE text IS NOT NULL),
-h AS (SELECT ep_id, sum(length(text)) AS n, sum(length(text) - length(regexp_replace(text, '{_WIDE}', '', 'g'))) AS c FROM u WHERE before < 100 GROUP BY 1)
-SELECT ep_id, CAST(n AS BIGINT) AS n_chars, CASE WHEN n < 20 THEN 'too_short' WHEN c >= 0.6 * n THEN 'cjk' WHEN c < 0.2 * n THEN 'latin' ELSE 'unclear' END AS gate FROM h""")
-def agg_08_language_gate(spark, sf):
-    rows = b.asr(spark, sf).filter("text is not null").select("ep_id", "id", "text", F.length("text").alias("n"))
-    head = sq.running_total(rows, ["ep_id"], "id", F.col("n"), "upto").filter(F.col("upto") - F.col("n") < 100)
-    h = head.groupBy("ep_id").agg(F.sum("n").alias("n_chars"), F.sum(F.regexp_count("text", F.lit(tx.WIDE_RANGES))).alias("c"))
-    gate = F.when(F.col("n_chars") < 20, "too_short").when(F.col("c") >= 0.6 * F.col("n_chars"), "cjk").when(F.col("c") < 0.2 * F.col("n_chars"), "latin").otherwise("unclear")
-    return h.select("ep_id", "n_chars", gate.alias("gate"))
+_EPISODES = "eps AS (SELECT ep_id, drama, row_number() OVER (PARTITION BY drama ORDER BY TRY_CAST(regexp_extract(ep_id, 'ep(\\d+)$', 1) AS INT) NULLS LAST, ep_id) AS place FROM (SELECT DISTINCT ep_id, drama FROM episode_result) q)"
+
 
+def _episodes(spark, sf):
+    """Episodes in natural order within their drama: one row an episode."""
+    no = F.regexp_extract("ep_id", r"ep(\d+)$", 1).try_cast("int")
+    w = Window.partitionBy("drama").orderBy(no.asc_nulls_last(), "ep_id")
+    return table(spark, sf, "episode_result").select("ep_id", "drama").distinct().select("ep_id", "drama", F.row_number().over(w).alias("place"))
 
-@query(f"""WITH {b.ALN}, f AS (SELECT ep_id, idx, master_text, lag(trim(master_text)) OVER (PARTITION BY ep_id ORDER BY idx) AS p FROM aln WHERE trim(coalesce(master_text, '')) <> ''),
-u AS (SELECT *, sum(length(master_text) + 1) OVER (PARTITION BY ep_id ORDER BY idx) AS used FROM f WHERE p IS NULL OR p <> trim(master_text))
-SELECT ep_id, '=== ' || ep_id || ' ===' || chr(10) || string_agg(master_text, chr(10) ORDER BY idx) AS body FROM u WHERE used <= 1500 GROUP BY 1""")
+
+@query(f"""WITH {b.ASR}, {_EPISODES}, t AS (SELECT ep_id, sum(length(coalesce(text, ''))) + count(*) - 1 AS n, sum(length(regexp_replace(coalesce(text, ''), '[ \\t\\r\\n]', '', 'g'))) AS solid, sum(length(coalesce(text, '')) - length(regexp_replace(coalesce(text, ''), '{_WIDE}', '', 'g'))) AS c FROM asr GROUP BY 1),
+h AS (SELECT drama, t.*, coalesce(sum(n) OVER (PARTITION BY drama ORDER BY place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM eps JOIN t USING (ep_id) WHERE place <= 3),
+s AS (SELECT drama, sum(n) AS n_chars, sum(c) AS c, sum(solid) AS solid FROM h WHERE before < 100 GROUP BY 1)
+SELECT drama, CAST(n_chars AS BIGINT) AS n_chars, round(CASE WHEN solid > 0 THEN c / CAST(solid AS DOUBLE) ELSE 0.0 END, 4) AS wide_ratio, CASE WHEN n_chars < 20 THEN 'too_short' WHEN c < 0.2 * solid THEN 'not_zh' WHEN c > 0.6 * solid THEN 'not_en' ELSE 'either' END AS gate FROM s""")
+def agg_08_language_gate(spark, sf):
+    """Which language a drama's speech cannot be in, from its first three episodes together, as many as give 100 characters."""
+    t = F.coalesce("text", F.lit(""))
+    per = b.asr(spark, sf).groupBy("ep_id").agg((F.sum(F.length(t)) + F.count(F.lit(1)) - 1).alias("n"), F.sum(F.length(F.regexp_replace(t, r"[ \t\r\n]", ""))).alias("solid"), F.sum(F.regexp_count(t, F.lit(tx.WIDE_RANGES))).alias("c"))
+    w = Window.partitionBy("drama").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)  # three rows a drama
+    h = _episodes(spark, sf).filter("place <= 3").join(per, "ep_id").withColumn("before", F.coalesce(F.sum("n").over(w), F.lit(0))).filter("before < 100")
+    s = h.groupBy("drama").agg(F.sum("n").alias("n_chars"), F.sum("c").alias("c"), F.sum("solid").alias("solid"))
+    gate = F.when(F.col("n_chars") < 20, "too_short").when(F.col("c") < 0.2 * F.col("solid"), "not_zh").when(F.col("c") > 0.6 * F.col("solid"), "not_en").otherwise("either")
+    return s.select("drama", "n_chars", F.round(F.when(F.col("solid") > 0, F.col("c") / F.col("solid")).otherwise(F.lit(0.0)), 4).alias("wide_ratio"), gate.alias("gate"))
+
+
+@query(f"""WITH {b.ALN}, {_EPISODES}, e AS (SELECT *, (place - 1) // 20 AS batch_no, count(*) OVER (PARTITION BY drama, (place - 1) // 20) AS n_eps FROM eps),
+f AS (SELECT ep_id, idx, trim(master_text, ' ') AS m, lag(trim(master_text, ' ')) OVER (PARTITION BY ep_id ORDER BY idx) AS p FROM aln WHERE trim(coalesce(master_text, ''), ' ') <> ''),
+u AS (SELECT *, sum(length(m) + 1) OVER (PARTITION BY ep_id ORDER BY idx) AS used FROM f WHERE p IS NULL OR p <> m),
+t AS (SELECT e.drama, e.batch_no, e.place, '# ' || ep_id || chr(10) || string_agg(m, chr(10) ORDER BY idx) AS body FROM u JOIN e USING (ep_id) WHERE used <= 30000 // n_eps GROUP BY e.drama, e.batch_no, e.place, ep_id)
+SELECT drama, batch_no, string_agg(body, chr(10) || chr(10) ORDER BY place) AS body FROM t GROUP BY 1, 2""")
 def agg_18_batch_text(spark, sf):
-    rows = sq.adjacent_distinct(b.aligned(spark, sf).select("ep_id", "idx", "master_text"), ["ep_id"], "idx", "master_text")
-    kept = sq.budget_prefix(rows, ["ep_id"], "idx", F.length("master_text") + 1, 1500)
-    x = kept.groupBy("ep_id").agg(F.array_sort(F.collect_list(F.struct("idx", "master_text"))).alias("x"))  # at most 1,500 characters a group
-    return x.select("ep_id", F.concat(F.lit("=== "), "ep_id", F.lit(" ===\n"), F.array_join(F.transform("x", lambda r: r["master_text"]), "\n")).alias("body"))
+    """Text of each batch of 20 episodes in natural order; 30,000 characters split over the batch's episodes, neighbours made distinct."""
+    e = _episodes(spark, sf).withColumn("batch_no", F.expr("cast((place - 1) div 20 as bigint)"))
+    e = e.withColumn("n_eps", F.count(F.lit(1)).over(Window.partitionBy("drama", "batch_no")))
+    said = b.aligned(spark, sf).select("ep_id", "idx", F.trim("master_text").alias("m"))
+    rows = sq.adjacent_distinct(said, ["ep_id"], "idx", "m")
+    rows = sq.running_total(rows, ["ep_id"], "idx", F.length("m") + 1, "used").filter("used <= 30000").join(e, "ep_id").filter(F.col("used") <= F.expr("30000 div n_eps"))
+    one = rows.groupBy("drama", "batch_no", "place", "ep_id").agg(F.array_sort(F.collect_list(F.struct("idx", "m"))).alias("x"))  # at most 30,000 characters a batch
+    one = one.select("drama", "batch_no", "place", F.concat(F.lit("# "), "ep_id", F.lit("\n"), F.array_join(F.transform("x", lambda r: r["m"]), "\n")).alias("t"))
+    whole = one.groupBy("drama", "batch_no").agg(F.array_sort(F.collect_list(F.struct("place", "t"))).alias("x"))
+    return whole.select("drama", "batch_no", F.array_join(F.transform("x", lambda r: r["t"]), "\n\n").alias("body"))
 
 
 @query(f"WITH {b.DOC} SELECT source, count(*) AS n_docs, min(created_at) AS first_at, max(created_at) AS last_at FROM doc GROUP BY 1")
@@ -75,10 +97,15 @@ def ord_04_largest_sources(spark, sf):
     return b.documents(spark, sf).groupBy("source").agg(F.sum("n_chars").alias("n")).orderBy(F.col("n").desc_nulls_last(), "source").limit(5)
 
 
-@query(f"WITH {b.ASR}, r AS (SELECT ep_id, id, text, row_number() OVER (PARTITION BY ep_id ORDER BY id) AS r FROM asr) SELECT ep_id, id, text FROM r WHERE r <= 3")
+@query(f"""WITH {b.ASR}, {_EPISODES}, l AS (SELECT drama, place, ep_id, id, text, row_number() OVER (PARTITION BY drama ORDER BY place, id) AS line_no FROM asr JOIN eps USING (ep_id) WHERE place <= 3 AND trim(coalesce(text, '')) <> '')
+SELECT drama, line_no, ep_id, id, text FROM l WHERE line_no <= 120""")
 def lim_02_first_lines(spark, sf):
-    rows = sq.number_rows(b.asr(spark, sf).select("ep_id", "id", "text"), ["ep_id"], "id", "r")
-    return rows.filter("r <= 3").drop("r")
+    """The first 120 lines of a drama's first three episodes together, in natural order."""
+    rows = b.asr(spark, sf).filter(F.trim(F.coalesce("text", F.lit(""))) != "").select("ep_id", "id", "text")
+    head = rows.join(_episodes(spark, sf).filter("place <= 3"), "ep_id")
+    w = Window.partitionBy("drama").orderBy("place", "id")
+    # The limit goes below the shuffle (WindowGroupLimit): a task sends 120 rows a drama at most.
+    return head.withColumn("line_no", F.row_number().over(w)).filter("line_no <= 120").select("drama", F.col("line_no").cast("bigint").alias("line_no"), "ep_id", "id", "text")
 
 
 @query(f"WITH {b.ALN}, {b.BLK} SELECT ep_id, idx AS no, master_text AS text, 1 AS rank_no FROM aln UNION ALL SELECT ep_id, block_no, combined_text, 0 FROM blk")
@@ -88,12 +115,15 @@ def set_01_ordered_union(spark, sf):
     return a.unionByName(k)
 
 
-@query(f"""WITH {b.DOC}, l AS (SELECT source, list_sort(list(DISTINCT lang) FILTER (lang IS NOT NULL AND lang NOT IN ('', 'und'))) AS have FROM doc WHERE source IS NOT NULL GROUP BY 1)
-SELECT source, array_to_string(list_filter(['de', 'en', 'es', 'fr', 'pt', 'zh'], lambda x: NOT list_contains(have, x)), ',') AS missing, len(list_filter(['en', 'zh'], lambda x: NOT list_contains(have, x))) = 0 AS covers FROM l WHERE have IS NOT NULL""")
+@query(f"""WITH {b.DOC}, l AS (SELECT source, list_sort(list(DISTINCT lang) FILTER (lang IS NOT NULL AND lang NOT IN ('', 'und'))) AS have, count_if(lang = 'en') AS n_en, count_if(lang = 'zh') AS n_zh FROM doc WHERE source IS NOT NULL GROUP BY 1)
+SELECT source, array_to_string(list_filter(['de', 'en', 'es', 'fr', 'pt', 'zh'], lambda x: NOT list_contains(have, x)), ',') AS missing, len(list_filter(['en', 'zh'], lambda x: NOT list_contains(have, x))) = 0 AND n_en = n_zh AS covers FROM l WHERE have IS NOT NULL""")
 def set_05_coverage(spark, sf):
-    have = b.documents(spark, sf).filter("source is not null and lang is not null and lang not in ('', 'und')").groupBy("source").agg(F.collect_set("lang").alias("have"))
+    """Languages a source lacks; it covers what is asked if it has both languages with equally many documents."""
+    docs = b.documents(spark, sf).filter("source is not null and lang is not null and lang not in ('', 'und')")
+    have = docs.groupBy("source").agg(F.collect_set("lang").alias("have"), F.count_if(F.col("lang") == "en").alias("n_en"), F.count_if(F.col("lang") == "zh").alias("n_zh"))
     all_ = F.array(*map(F.lit, ("de", "en", "es", "fr", "pt", "zh")))
-    return have.select("source", F.array_join(F.array_except(all_, "have"), ",").alias("missing"), (F.size(F.array_except(F.array(F.lit("en"), F.lit("zh")), "have")) == 0).alias("covers"))
+    both = F.size(F.array_except(F.array(F.lit("en"), F.lit("zh")), "have")) == 0
+    return have.select("source", F.array_join(F.array_except(all_, "have"), ",").alias("missing"), (both & (F.col("n_en") == F.col("n_zh"))).alias("covers"))
 
 
 @query("""WITH c AS (SELECT DISTINCT drama, canonical, aliases, ocr_en_variants FROM cast_member) SELECT drama, canonical, list_sort(list_distinct(list_concat(coalesce(aliases, []), coalesce(ocr_en_variants, []))))[1] AS first_name, len(list_distinct(list_concat(coalesce(aliases, []), coalesce(ocr_en_variants, [])))) AS n FROM c""")
@@ -154,10 +184,25 @@ def fn_29_template(spark, sf):
     return b.asr(spark, sf).select("ep_id", "id", out.alias("prompt"))
 
 
-@query(f"WITH {b.DOC}, w AS (SELECT doc_id, unnest(regexp_extract_all(text, '\\b(?:as|becomes) ((?:[A-Z][a-z]+ ?){{2,4}})', 1)) AS alias FROM doc WHERE text IS NOT NULL) SELECT DISTINCT doc_id, trim(alias, ' ') AS alias FROM w")
+@query("""WITH c AS (SELECT DISTINCT drama, canonical, canonical_en FROM cast_member WHERE canonical_en IS NOT NULL)
+SELECT drama, canonical, t AS token FROM (SELECT drama, canonical, unnest(regexp_split_to_array(lower(canonical_en), '\\s+')) AS t FROM c) q WHERE length(t) >= 3""")
+def fn_22_name_tokens(spark, sf):
+    c = table(spark, sf, "cast_member").filter("canonical_en is not null").select("drama", "canonical", "canonical_en").distinct()
+    return c.select("drama", "canonical", F.explode(tx.name_tokens(F.col("canonical_en"))).alias("token"))
+
+
+# A sentence that gives every person a title, since the tables hold none.
+_GIVES = "'The elders proclaim ' || canonical_en || ' as the Luna Princess of ep. He becomes Young Master  Ju Of The House Xi'"
+
+
+@query(f"""WITH c AS (SELECT DISTINCT drama, canonical, canonical_en FROM cast_member WHERE canonical_en IS NOT NULL),
+a AS (SELECT drama, canonical, {_GIVES} AS said, canonical_en FROM c), p AS (SELECT drama, canonical, unnest(regexp_extract_all(said, '\\b(?:as|becomes?)\\s+(?:the\\s+|a\\s+|an\\s+|his\\s+|her\\s+)?([A-Z][a-zA-Z]+(?:\\s+[A-Z][a-zA-Z]+)+)', 1)) AS p FROM a
+  WHERE len(list_filter(regexp_split_to_array(lower(canonical_en), '\\s+'), lambda t: length(t) >= 3)) > 0)
+SELECT DISTINCT drama, canonical, lower(regexp_replace(p, '\\s+', ' ', 'g')) AS alias FROM p WHERE len(regexp_split_to_array(p, '\\s+')) BETWEEN 2 AND 4""")
 def fn_22_alias_phrases(spark, sf):
-    found = F.regexp_extract_all("text", F.lit(r"\b(?:as|becomes) ((?:[A-Z][a-z]+ ?){2,4})"), F.lit(1))
-    return b.documents(spark, sf).filter("text is not null").select("doc_id", F.explode(found).alias("a")).select("doc_id", F.trim("a").alias("alias")).distinct()
+    c = table(spark, sf, "cast_member").filter("canonical_en is not null").select("drama", "canonical", "canonical_en").distinct()
+    found = tx.title_phrases(F.expr(_GIVES), tx.name_tokens(F.col("canonical_en")))
+    return c.select("drama", "canonical", F.explode(found).alias("alias")).distinct()
 
 
 @query(f"WITH {b.ASR} SELECT ep_id, id, start_ms // 3600000 AS h, start_ms // 60000 % 60 AS m, start_ms // 1000 % 60 AS s, start_ms % 1000 AS f FROM asr WHERE start_ms >= 0")

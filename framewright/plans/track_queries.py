@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from framewright.functions import text as tx
 from framewright.operators import sequence as sq
 from framewright.operators import temporal as tp
 from framewright.plans import base as b
 
+_SUSPENSE, _CLOSED_HAN, _CLOSED = tx.SUSPENSE, tx.CLOSED_HAN, tx.CLOSED
 PHRASES = ["north gate", "码头", "templo"]
 QUERIES: dict = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -200,17 +202,30 @@ def seq_07_long_split(spark, sf):
     return parts.select("ep_id", "id", (F.col("part") + 1).alias("part"), "x.text", "x.start_ms", "x.end_ms")
 
 
-@query()
+# The fold over an episode's rows as SQL: of every row what survived; the accumulator is the list of rows so far.
+_STALE = f"""WITH {b.ALN}, r AS (SELECT ep_id, idx, master_text, coalesce(hallucination_risk, FALSE) AS risk, coalesce(master_text, '') AS m, CASE WHEN coalesce(context_available, FALSE) THEN coalesce(context_text, '') ELSE '' END AS c FROM aln),
+l AS (SELECT ep_id, list([{{'idx': idx, 'm': m, 'c': c}}] ORDER BY idx) AS x FROM r GROUP BY 1),
+k AS (SELECT ep_id, unnest(list_reduce(x, lambda acc, y: list_append(acc, {{'idx': y[1].idx, 'm': y[1].m,
+  'c': CASE WHEN y[1].c <> '' AND y[1].c <> y[1].m AND len(list_filter(acc[-5:], lambda p: p.m = y[1].c OR p.c = y[1].c)) > 0 THEN '' ELSE y[1].c END}}))) AS z FROM l),
+kept AS (SELECT ep_id, z.idx AS idx, z.c AS context_kept FROM k)"""
+
+
+@query(f"{_STALE} SELECT * FROM kept")
 def seq_08_stale_context(spark, sf):
     return sq.stale_context(b.aligned(spark, sf), ["ep_id"], "idx", "master_text", "context_text", "context_available", "hallucination_risk")
 
 
-@query(f"""WITH {b.ALN}, r AS (SELECT *, row_number() OVER (PARTITION BY ep_id, master_text ORDER BY idx) - 1 AS seen FROM aln WHERE master_text IS NOT NULL)
-SELECT ep_id, idx, seen, CASE WHEN context_available AND coalesce(context_text, '') <> '' AND context_text <> master_text AND ((length(master_text) >= 8 AND seen >= 3) OR coalesce(hallucination_risk, FALSE)) THEN context_text ELSE master_text END AS effective_text FROM r""")
+@query(f"""{_STALE}, s AS (SELECT ep_id, idx, m, risk, row_number() OVER (PARTITION BY ep_id, m ORDER BY idx) - 1 AS seen FROM r)
+SELECT s.ep_id, s.idx, s.seen, CASE WHEN k.context_kept <> '' AND k.context_kept <> s.m AND ((length(s.m) >= 8 AND s.seen >= 3) OR s.risk) THEN k.context_kept ELSE s.m END AS effective_text FROM s JOIN kept k ON s.ep_id = k.ep_id AND s.idx = k.idx""")
 def seq_09_repetition_guard(spark, sf):
-    rows = sq.occurrence_number(b.aligned(spark, sf).filter("master_text is not null"), ["ep_id"], "idx", "master_text", "seen")
-    swap = F.col("context_available") & (F.coalesce("context_text", F.lit("")) != "") & (F.col("context_text") != F.col("master_text")) & (((F.length("master_text") >= 8) & (F.col("seen") >= 3)) | F.coalesce("hallucination_risk", F.lit(False)))
-    return rows.select("ep_id", "idx", F.col("seen").cast("bigint").alias("seen"), F.when(swap, F.col("context_text")).otherwise(F.col("master_text")).alias("effective_text"))
+    """The text of each row: its surviving context where the speech repeats itself or is risky, else the speech."""
+    rows = b.aligned(spark, sf)
+    kept = sq.stale_context(rows, ["ep_id"], "idx", "master_text", "context_text", "context_available", "hallucination_risk")
+    rows = rows.select("ep_id", "idx", F.coalesce("master_text", F.lit("")).alias("m"), F.coalesce("hallucination_risk", F.lit(False)).alias("risk"))
+    seen = sq.occurrence_number(rows, ["ep_id"], "idx", "m", "seen").join(kept, ["ep_id", "idx"])
+    c = F.col("context_kept")
+    swap = (c != "") & (c != F.col("m")) & (((F.length("m") >= 8) & (F.col("seen") >= 3)) | F.col("risk"))
+    return seen.select("ep_id", "idx", F.col("seen").cast("bigint").alias("seen"), F.when(swap, c).otherwise(F.col("m")).alias("effective_text"))
 
 
 _ADJ = f"""WITH {b.ALN}, f AS (SELECT ep_id, idx, master_text, lag(trim(master_text)) OVER (PARTITION BY ep_id ORDER BY idx) AS p FROM aln WHERE trim(coalesce(master_text, '')) <> ''),
@@ -252,15 +267,19 @@ def seq_12_continuation_repair(spark, sf):
     return sq.continuation_repair(b.asr(spark, sf), ["ep_id"], "id", "start_ms", "end_ms", "text")
 
 
-@query(f"""WITH {b.ASR}, {b.SEG}, c AS (SELECT o.ep_id, o.id AS window_id, a.id, o.end_ms - a.end_ms AS gap, CASE WHEN regexp_matches(coalesce(a.text, ''), '[?？!！…]\\s*$') THEN 0 ELSE 1 END AS tier
-  FROM seg o JOIN asr a ON o.ep_id = a.ep_id AND a.end_ms > a.start_ms AND a.start_ms < o.end_ms AND a.end_ms > o.end_ms - 45000 WHERE o.end_ms > o.start_ms AND o.end_ms - a.end_ms BETWEEN 2000 AND 45000)
-SELECT ep_id, window_id, arg_min(id, (tier, -id)) AS cut_id FROM c GROUP BY 1, 2""")
+@query(f"""WITH {b.ASR}, {b.SEG}, c AS (SELECT o.ep_id, o.id AS window_id, a.id, a.start_ms, a.end_ms, regexp_matches(coalesce(a.text, ''), '{_SUSPENSE}') AS opens,
+    CASE WHEN regexp_matches(coalesce(a.text, ''), '[\\x{{4E00}}-\\x{{9FFF}}]') THEN regexp_matches(coalesce(a.text, ''), '{_CLOSED_HAN}') ELSE regexp_matches(coalesce(a.text, ''), '{_CLOSED}') END AS closes
+  FROM seg o JOIN asr a ON o.ep_id = a.ep_id AND a.end_ms >= a.start_ms AND a.start_ms >= o.start_ms - 100 AND a.end_ms <= o.end_ms + 100 WHERE o.end_ms > o.start_ms AND o.end_ms - a.end_ms BETWEEN 2000 AND 45000)
+SELECT ep_id, window_id, arg_min(end_ms, (CASE WHEN opens THEN 0 ELSE 1 END, -start_ms, -id)) AS cut_ms FROM c WHERE opens OR NOT closes GROUP BY 1, 2""")
 def seq_15_suspense_cut(spark, sf):
-    win = b.segments(spark, sf).filter("end_ms > start_ms").select("ep_id", F.col("id").alias("window_id"), F.col("end_ms").alias("w_e"), (F.col("end_ms") - 45_000).alias("w_s"))
-    a = b.asr(spark, sf).select("ep_id", "id", "text", F.col("start_ms").alias("a_s"), F.col("end_ms").alias("a_e"))
-    met = tp.overlap_pairs(win, a, ["ep_id"], ("w_s", "w_e"), ("a_s", "a_e"), bucket_ms=30_000).filter((F.col("w_e") - F.col("a_e")).between(2000, 45_000))
-    tier = F.when(F.coalesce("text", F.lit("")).rlike(r"[?？!！…]\s*$"), 0).otherwise(1)
-    return met.groupBy("ep_id", "window_id").agg(F.min_by("id", F.struct(tier, -F.col("id"))).alias("cut_id"))
+    """End of the last line of a window, 2 to 45 s before its end, that opens a tension; else of the last that does not close one."""
+    win = b.segments(spark, sf).filter("end_ms > start_ms").select("ep_id", F.col("id").alias("window_id"), F.col("start_ms").alias("w_s"), F.col("end_ms").alias("w_e"), (F.col("start_ms") - 100).alias("w_from"))
+    a = b.asr(spark, sf).filter("end_ms >= start_ms").select("ep_id", "id", F.coalesce("text", F.lit("")).alias("text"), F.col("start_ms").alias("a_s"), F.col("end_ms").alias("a_e"), (F.col("start_ms") + 1).alias("a_p"))
+    met = tp.overlap_pairs(win, a, ["ep_id"], ("w_from", "w_e"), ("a_s", "a_p"), bucket_ms=30_000)
+    met = met.filter((F.col("a_e") <= F.col("w_e") + 100) & (F.col("w_e") - F.col("a_e")).between(2000, 45_000))
+    opens = tx.opens_tension(F.col("text"))
+    good = met.filter(opens | ~tx.closes_tension(F.col("text")))
+    return good.groupBy("ep_id", "window_id").agg(F.min_by("a_e", F.struct(F.when(opens, 0).otherwise(1), -F.col("a_s"), -F.col("id"))).alias("cut_ms"))
 
 
 @query(f"""WITH {b.ALN}, d AS (SELECT ep_id, idx, greatest(0, coalesce(end_ms - start_ms, 0)) AS dur FROM aln)
@@ -369,9 +388,11 @@ def agg_15_total_duration(spark, sf):
     return b.aligned(spark, sf).groupBy("ep_id").agg(F.sum(F.greatest(F.lit(0), F.coalesce(F.col("end_ms") - F.col("start_ms"), F.lit(0)))).alias("total_ms"))
 
 
-@query(f"""WITH {b.FRM}, o AS (SELECT ep_id, conf, row_number() OVER (PARTITION BY ep_id ORDER BY conf, ordinal) - 1 AS r, count(*) OVER (PARTITION BY ep_id) AS n FROM frm WHERE trim(coalesce(combined_text, '')) <> '')
-SELECT ep_id, min(CASE WHEN r = CAST(floor(0.05 * n) AS BIGINT) THEN conf END) AS low, min(CASE WHEN r = least(n - 1, CAST(floor(0.95 * n) AS BIGINT)) THEN conf END) AS high FROM o WHERE n >= 3 GROUP BY 1""")
+@query(f"""WITH {b.FRM}, o AS (SELECT ep_id, conf, row_number() OVER (PARTITION BY ep_id ORDER BY conf, ordinal) - 1 AS r, count(*) OVER (PARTITION BY ep_id) AS n FROM frm WHERE trim(coalesce(combined_text, '')) <> ''),
+p AS (SELECT ep_id, min(CASE WHEN r = CAST(floor(0.05 * n) AS BIGINT) THEN conf END) AS low, min(CASE WHEN r = least(n - 1, CAST(floor(0.95 * n) AS BIGINT)) THEN conf END) AS high FROM o WHERE n >= 3 GROUP BY 1)
+SELECT ep_id, round(greatest(0.0, (low - 400) / 10000.0), 3) AS low, round(least(1.0, (high + 400) / 10000.0), 3) AS high FROM p""")
 def agg_09_percentile_band(spark, sf):
+    """The band from the 5th to the 95th percentile, widened by 0.04, within 0 and 1, to three decimals; from three values on."""
     # Scores are whole ten-thousandths: counting them per value bounds each group to 10,001 rows whatever its size.
     from pyspark.sql import Window
 
@@ -379,4 +400,5 @@ def agg_09_percentile_band(spark, sf):
     w = Window.partitionBy("ep_id")
     acc = hist.withColumn("upto", F.sum("c").over(w.orderBy("conf"))).withColumn("n", F.sum("c").over(w)).filter("n >= 3")
     at = lambda r: F.min(F.when(F.col("upto") > r, F.col("conf")))
-    return acc.groupBy("ep_id").agg(at(F.floor(F.lit(0.05) * F.col("n"))).alias("low"), at(F.least(F.col("n") - 1, F.floor(F.lit(0.95) * F.col("n")))).alias("high"))
+    out = acc.groupBy("ep_id").agg(at(F.floor(F.lit(0.05) * F.col("n"))).alias("low"), at(F.least(F.col("n") - 1, F.floor(F.lit(0.95) * F.col("n")))).alias("high"))
+    return out.select("ep_id", F.round(F.greatest(F.lit(0.0), (F.col("low") - 400) / 10000.0), 3).alias("low"), F.round(F.least(F.lit(1.0), (F.col("high") + 400) / 10000.0), 3).alias("high"))

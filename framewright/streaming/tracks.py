@@ -11,14 +11,15 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from framewright.operators.sequence import ratio
+from framewright.functions.text import normalise_line
+from framewright.operators.sequence import alike
 
 RUN = StructType([StructField("ep_id", StringType()), StructField("start_ms", LongType()), StructField("end_ms", LongType()), StructField("text", StringType()), StructField("n_frames", IntegerType()), StructField("n_normal", IntegerType()), StructField("conf_sum", LongType())])
 _STATE = "start_ms bigint, end_ms bigint, text string, n_frames int, n_normal int, conf_sum bigint, norm string, last_ord bigint"
 
 
 class FrameRuns(StatefulProcessor):
-    """The similarity fold over frames (ep_id, ordinal, t_ms, combined_text, conf), one open run a key.
+    """The similarity fold over frames (ep_id, ordinal, t_ms, combined_text, conf, norm), one open run a key.
 
     Frames of a key must arrive in order across batches; inside a batch they are sorted. A record at or before the last
     ordinal seen (a late copy) is dropped. A run closes at a blank, at a different line, or at a record with ordinal -1.
@@ -39,7 +40,7 @@ class FrameRuns(StatefulProcessor):
             s = list(self.open.get())
             last = s[7]
             cur = s[:7] if s[3] > 0 else None
-        for o, t, txt, c, done in zip(got["ordinal"], got["t_ms"], got["combined_text"], got["conf"], got["__end"]):
+        for o, t, txt, c, n, done in zip(got["ordinal"], got["t_ms"], got["combined_text"], got["conf"], got["norm"], got["__end"]):
             if not done and o <= last:
                 continue
             last = last if done else int(o)
@@ -52,8 +53,7 @@ class FrameRuns(StatefulProcessor):
                 if cur:
                     cur[1], cur[3] = int(t) + self.step, cur[3] + 1
             else:
-                n = " ".join(txt.split()).lower()
-                if cur and ratio(n, cur[6]) >= self.near:
+                if cur and alike(n, cur[6], self.near):
                     cur[1] = int(t) + self.step
                     if c * cur[4] > cur[5]:
                         cur[2], cur[6] = txt, n
@@ -71,7 +71,7 @@ class FrameRuns(StatefulProcessor):
 
 def frame_runs(frames: DataFrame, least_ms: int = 400) -> DataFrame:
     """Streaming twin of the batch similarity runs; needs the RocksDB state store."""
-    rows = frames.select("ep_id", F.col("ordinal").cast("bigint").alias("ordinal"), "t_ms", "combined_text", "conf")
+    rows = frames.select("ep_id", F.col("ordinal").cast("bigint").alias("ordinal"), "t_ms", "combined_text", "conf", normalise_line(F.col("combined_text")).alias("norm"))
     runs = rows.groupBy("ep_id").transformWithStateInPandas(statefulProcessor=FrameRuns(), outputStructType=RUN, outputMode="Append", timeMode="None")
     return runs.filter(F.col("end_ms") - F.col("start_ms") >= least_ms)
 
@@ -88,12 +88,17 @@ def log_windows(log: DataFrame, at: str, value: str, by: str, length: str = "24
     return w.agg(F.count(F.lit(1)).alias("n"), F.sum(value).alias("total")).select(F.col("window.start").alias("from_at"), F.col("window.end").alias("to_at"), by, "n", "total")
 
 
-def align_live(speech: DataFrame, screen: DataFrame, late: str = "10 minutes") -> DataFrame:
-    """Overlap join of two live tracks (ep_id, s_at, e_at, ...): event-time bounds let both sides' state be dropped."""
-    a = speech.withWatermark("s_at", late).select("ep_id", "id", "s_at", "e_at")
-    k = screen.withWatermark("b_at", late).select(F.col("ep_id").alias("k_ep"), "block_no", "b_at", "f_at")
+def align_live(speech: DataFrame, screen: DataFrame, late: str = "10 minutes", longest: str = "6 hours") -> DataFrame:
+    """Overlap join of two live tracks (ep_id, s_at, e_at, ...): event-time bounds let both sides' state be dropped.
+
+    An interval must end within ``longest`` of its start; state is kept that long. Longer ones break that promise and make
+    the query fail rather than lose their pairs.
+    """
+    within = lambda s, e: F.when(F.col(e) <= F.col(s) + F.expr(f"interval {longest}"), F.col(e)).when(F.col(e).isNotNull(), F.raise_error(F.lit("interval beyond the longest allowed")).cast("timestamp"))
+    a = speech.withWatermark("s_at", late).select("ep_id", "id", "s_at", within("s_at", "e_at").alias("e_at"))
+    k = screen.withWatermark("b_at", late).select(F.col("ep_id").alias("k_ep"), "block_no", "b_at", within("b_at", "f_at").alias("f_at"))
     cond = (F.col("ep_id") == F.col("k_ep")) & (F.col("s_at") < F.col("f_at")) & (F.col("b_at") < F.col("e_at"))
-    bound = (F.col("b_at") >= F.col("s_at") - F.expr("interval 1 minute")) & (F.col("b_at") <= F.col("s_at") + F.expr("interval 1 minute"))
+    bound = (F.col("b_at") >= F.col("s_at") - F.expr(f"interval {longest}")) & (F.col("b_at") <= F.col("s_at") + F.expr(f"interval {longest}"))
     return a.join(k, cond & bound).select("ep_id", "id", "block_no")
 
 
