@@ -37,3 +37,18 @@ def extend_plans(plans: DataFrame, scenes: DataFrame, target_ms: int = 165_000,
 
     kind = dict(plans.dtypes)["plan_id"]
     return near.groupBy("ep_id", "plan_id").applyInPandas(extend, f"ep_id string, plan_id {kind}, s bigint, e bigint, n_added int, reached boolean")
+
+
+AUTOMATIC = "[auto-extended]"
+
+
+def extend_again(segments: DataFrame, scenes: DataFrame, target_ms: int = 165_000, over_ms: int = 50_000) -> DataFrame:
+    """Plans given as segments (ep_id, plan_id, s, e, note): earlier automatic segments go, then each short plan is extended by one.
+
+    Running it on its own result changes nothing.
+    """
+    own = segments.filter(F.coalesce("note", F.lit("")) != AUTOMATIC).select("ep_id", "plan_id", "s", "e", "note")
+    plans = own.filter("s is not null and e >= s").groupBy("ep_id", "plan_id").agg(F.min("s").alias("s"), F.max("e").alias("e"))
+    longer = extend_plans(plans, scenes, target_ms, over_ms).filter("n_added > 0").select("ep_id", "plan_id", F.col("e").alias("to_ms"))
+    added = plans.join(longer, ["ep_id", "plan_id"]).select("ep_id", "plan_id", F.col("e").alias("s"), F.col("to_ms").alias("e"), F.lit(AUTOMATIC).alias("note"))
+    return own.unionByName(added)

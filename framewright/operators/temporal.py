@@ -111,3 +111,37 @@ def clip_window(spans: DataFrame, windows: DataFrame, keys: Sequence[str], offse
     met = overlap_pairs(pts, w, keys, ("s", "__p1"), ("w_s", "w_e")).withColumn("__e", F.least("e", "w_e"))
     moved = met.filter(F.col("__e") > F.col("s"))
     return moved.select(*keys, "wid", "pos", (F.col("s") - F.col("w_s") + offset_ms).alias("start_ms"), (F.col("__e") - F.col("w_s") + offset_ms).alias("end_ms"))
+
+
+def align_with_rescue(speech: DataFrame, screen: DataFrame, min_speech: int = 10, min_screen: int = 5, margin_ms: int = 1000) -> DataFrame:
+    """The aligned track of every episode: ep_id, segment_id, start_ms, end_ms, master_text, master_source, context_text, context_available.
+
+    Speech leads, with its best block as context. Where an episode has fewer than ``min_speech`` segments but at least
+    ``min_screen`` blocks, the blocks lead (near copies merged) and all overlapping speech is their context. Elsewhere blocks
+    that end ``margin_ms`` before the first segment (by id) come first, merged alike, without context. Times that are null
+    lead nothing.
+    """
+    from framewright.operators.sequence import dedup_blocks, number_rows
+
+    n_a = speech.groupBy("ep_id").agg(F.count(F.lit(1)).alias("n_a"), F.min_by("start_ms", F.when(F.col("start_ms").isNotNull(), F.col("id"))).alias("first_ms"))
+    n_k = screen.groupBy("ep_id").agg(F.count(F.lit(1)).alias("n_k"))
+    route = n_a.join(n_k, "ep_id", "full").select("ep_id", "first_ms", ((F.coalesce("n_a", F.lit(0)) < min_speech) & (F.coalesce("n_k", F.lit(0)) >= min_screen)).alias("flip"))
+
+    def merged(blocks: DataFrame) -> DataFrame:
+        """Blocks with near neighbours merged, numbered from 0 in order of start."""
+        done = dedup_blocks(blocks, ["ep_id"], "block_no", "start_ms", "end_ms", "combined_text", "conf")
+        return number_rows(done, ["ep_id"], "start_ms", "no", first=0)
+
+    blocks = screen.join(route, "ep_id")
+    flipped = merged(blocks.filter("flip"))
+    context = ordered_context(flipped.withColumnRenamed("no", "id"), speech)
+    led = flipped.join(context.withColumnRenamed("seg_id", "no"), ["ep_id", "no"], "left")
+    name = lambda form, no: F.format_string(form, F.col("ep_id"), F.col(no))
+    cols = ["ep_id", "segment_id", "start_ms", "end_ms", "master_text", "master_source", "context_text", "context_available"]
+    led = led.select("ep_id", name("%s_%04d", "no").alias("segment_id"), "start_ms", "end_ms", F.col("combined_text").alias("master_text"), F.lit("ocr").alias("master_source"), F.coalesce("context_text", F.lit("")).alias("context_text"), F.coalesce("context_available", F.lit(False)).alias("context_available"))
+    leading = merged(blocks.filter(~F.col("flip") & (F.col("end_ms") <= F.col("first_ms") - margin_ms)))
+    leading = leading.select("ep_id", name("%s_lead_%04d", "no").alias("segment_id"), "start_ms", "end_ms", F.col("combined_text").alias("master_text"), F.lit("ocr_leading").alias("master_source"), F.lit("").alias("context_text"), F.lit(False).alias("context_available"))
+    main = speech.join(route.filter(~F.col("flip")).select("ep_id"), "ep_id", "left_semi")
+    main = main.select("ep_id", "id", "start_ms", "end_ms", F.coalesce("text", F.lit("")).alias("master_text")).join(align_tracks(main, screen), ["ep_id", "id"])
+    main = main.select("ep_id", name("%s_%04d", "id").alias("segment_id"), "start_ms", "end_ms", "master_text", F.lit("asr").alias("master_source"), "context_text", "context_available")
+    return led.select(cols).unionByName(leading.select(cols)).unionByName(main.select(cols))
