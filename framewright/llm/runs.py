@@ -16,13 +16,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from framewright.operators.sharding import distinct_in_shard, lead_over
+from framewright.session import cut
 
 SHARD_ROWS = 4096
 
 
 def plain_line(text: Column) -> Column:
     """The line without tags, music signs, spaces and case."""
-    t = F.regexp_replace(text, r"<[^<>]{0,40}>|\{\\[^{}]{0,40}\}", "")
+    t = F.regexp_replace(text, r"<[^<>]*>|\{\\[^{}]*\}", "")
     t = F.regexp_replace(t, r"[\s\p{Z}\p{Cf}♩-♯★☆#¶]+", "")
     return F.lower(t)
 
@@ -75,10 +76,11 @@ def collapse_runs(df: DataFrame, group: str, order: str, text: str, score: str |
     start = (F.col("line") != "") & ((F.col("prev") == "") | ~same_line(F.col("line"), F.col("prev")))
     stop = (F.col("line") == "") & (F.col("prev") != "")
     edges = seen.filter(~F.col("fade") & (start | stop)).select(
-        "g", "shard", "o", "at", "line", "total",
+        "g", "shard", "o", "at", start.alias("opens"), "total",
         F.struct((F.col("l_n") + F.col("c_n")).alias("n"), (F.col("l_w") + F.col("c_w")).alias("w"), F.coalesce("l_end", "c_end").alias("end")).alias("before"),
     )
-    linked = lead_over(edges, ["g"], "shard", ["o"], F.col("before"), "nxt").filter("line <> ''").withColumn("until", F.coalesce("nxt", "total"))
+    # The boundaries are read twice below; they are few and narrow, the comparisons behind them are not.
+    linked = lead_over(cut(edges), ["g"], "shard", ["o"], F.col("before"), "nxt").filter("opens").withColumn("until", F.coalesce("nxt", "total"))
     return linked.select(
         F.col("g").alias(group), F.col("o").alias("first_no"), F.col("until.end.o").alias("last_no"),
         (F.col("until.n") - F.col("before.n")).alias("n_records"), (F.col("until.w") - F.col("before.w")).alias("n_weight"),
