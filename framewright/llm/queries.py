@@ -18,7 +18,6 @@ from framewright.operators.dedup import one_per_key
 from framewright.session import cut, ms, table
 
 HOUR_MS = 3_600_000
-CUT_FROM = 0.3
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,13 +59,13 @@ def _scored_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values of ad_copy that were cut short."""
-    return _scored_copy(spark, sf_dir).filter(F.col("probability") >= CUT_FROM).select("copy_id", "field_name")
+    return _scored_copy(spark, sf_dir).filter("is_cut").select("copy_id", "field_name")
 
 
 def p4_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of cut values per source and field."""
     rated = _scored_copy(spark, sf_dir).groupBy("copy_source", "field_name")
-    return rated.agg(F.count(F.lit(1)).alias("n_values"), F.count_if(F.col("probability") >= CUT_FROM).alias("n_cut"), F.avg((F.col("probability") >= CUT_FROM).cast("double")).alias("cut_rate"))
+    return rated.agg(F.count(F.lit(1)).alias("n_values"), F.count_if("is_cut").alias("n_cut"), F.avg(F.col("is_cut").cast("double")).alias("cut_rate"))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
