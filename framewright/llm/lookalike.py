@@ -1,8 +1,8 @@
 """Visually identical text with different characters (problem 1).
 
 ``canonical_form`` brings text to one form: compatibility normalisation in composed form, look-alike letters mapped
-within words of the other script, full case folding, white space mapped to a plain space, default-ignorable characters
-removed. ``look_key`` keeps what a viewer sees (case, accents, raised and circled digits, signs) and drops only what a
+wherever they stand (so that a word compares equal however its letters are mixed; the form is for comparison, not for
+reading), full case folding, white space mapped to a plain space, default-ignorable characters removed. ``look_key`` keeps what a viewer sees (case, accents, raised and circled digits, signs) and drops only what a
 viewer cannot see, so equal keys mean equal looks. Both run once per distinct value of a batch.
 
 Defined cases: null gives null; an empty or blank text gives an empty text; texts of any length are processed whole;

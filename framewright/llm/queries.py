@@ -144,6 +144,11 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text", vocabulary("byte_bpe_50k"))
 
 
+def p8_stitched_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same ids by chunks of 500 characters, which the documents reach: pre-tokenised apart, stitched, encoded in pieces."""
+    return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text", vocabulary("byte_bpe_50k"), chunk_chars=500, overlap=100)
+
+
 def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     counted = cut(token_counts(table(spark, sf_dir, "documents"), "doc_id", "text", vocabulary("byte_bpe_50k"), ["source"]))
     plan = mix_plan(counted, table(spark, sf_dir, "mix_target"))
@@ -199,5 +204,5 @@ near AS (
 SELECT ep_id, asr_id, block_no FROM near WHERE r = 1
 """
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p3_speech": p3_speech, "p4_found": p4_found, "p4_rates": p4_rates, "p5_found": p5_found, "p5_durations": p5_durations, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p8_ids": p8_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_profile": p10_profile, "p10_errors": p10_errors}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p3_speech": p3_speech, "p4_found": p4_found, "p4_rates": p4_rates, "p5_found": p5_found, "p5_durations": p5_durations, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p8_ids": p8_ids, "p8_stitched_ids": p8_stitched_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_profile": p10_profile, "p10_errors": p10_errors}
 ORACLE_SQL = {"p7_found": P7_SQL}

@@ -63,7 +63,12 @@ def decode_ids(ids: list[int], path: str) -> str:
 def _pattern():
     import regex
 
-    return regex.compile(PATTERN)
+    # The tokenizer's white space is the Unicode property; this library's would take in the control separators too.
+    return regex.compile(PATTERN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
+
+
+# The characters of the property White_Space.
+WHITE = frozenset("\t\n\x0b\x0c\r \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000")
 
 
 def borders(text: str) -> list[int]:
@@ -75,14 +80,15 @@ def chunk_borders(text: str, start: int, stop: int, total: int, overlap: int) ->
     """Borders that the chunk [start, stop + overlap) sees in its head [start, start + overlap) and its tail [stop, stop + overlap), and sure ones.
 
     The last pre-tokens of the window are left out: what follows could change them. White space after anything else
-    begins a pre-token whatever comes before, so such places of the head are sure without the neighbour.
+    begins a pre-token whatever comes before, so such places of the head are sure without the neighbour. A place after white
+    space is no place to cut: at the end of a piece a run of white space would be one pre-token.
     """
     window_end = min(total, stop + overlap)
     seen = [start + b for b in borders(text)]
     if window_end < total:
         seen = seen[:-2]
-    sure = [start + i for i in range(1, min(len(text), overlap)) if text[i].isspace() and not text[i - 1].isspace()]
-    return [b for b in seen if b < start + overlap], [b for b in seen if stop <= b < window_end], sure[:1]
+    sure = [start + i for i in range(1, min(len(text), overlap)) if text[i] in WHITE and text[i - 1] not in WHITE]
+    return [b for b in seen if b < start + overlap], [b for b in seen if stop <= b < window_end and text[b - start - 1] not in WHITE], sure[:1]
 
 
 def stitch(heads: list[list[int]], tails: list[list[int]], sures: list[list[int]], starts: list[int], total: int) -> list[tuple[int, int]]:
@@ -110,8 +116,10 @@ def encode_corpus(docs: DataFrame, key: str, text: str, path: str, chunk_chars:
     short = rows.filter(size <= chunk_chars).mapInPandas(whole, f"k {kind}, ids array<int>")
 
     long = rows.filter(size > chunk_chars).withColumn("total", F.length("t"))
-    chunks = long.select("k", "total", "t", F.explode(F.sequence(F.lit(0), (F.col("total") - 1), F.lit(chunk_chars))).alias("start"))
-    window = chunks.select("k", "total", "start", F.substring("t", F.col("start") + 1, F.lit(chunk_chars + overlap)).alias("part")).repartition("k", "start")
+    # Windows and pieces are cut before they are spread, so that the whole text is not copied beside each of them.
+    starts = F.sequence(F.lit(0), F.col("total") - 1, F.lit(chunk_chars))
+    windows = F.transform(starts, lambda i: F.struct(i.alias("start"), F.substring("t", i + 1, F.lit(chunk_chars + overlap)).alias("part")))
+    window = long.select("k", "total", F.inline(windows)).repartition("k", "start")
 
     def see(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -124,10 +132,11 @@ def encode_corpus(docs: DataFrame, key: str, text: str, path: str, chunk_chars:
         g = g.sort_values("start")
         total = int(g["total"].iloc[0])
         p = stitch([list(x) for x in g["head"]], [list(x) for x in g["tail"]], [list(x) for x in g["sure"]], list(g["start"]), total)
-        return pd.DataFrame({"k": [g["k"].iloc[0]] * len(p), "a": [x for x, _ in p], "b": [y for _, y in p]})
+        return pd.DataFrame({"k": [g["k"].iloc[0]], "a": [[x for x, _ in p]], "b": [[y for _, y in p]]})
 
-    pieces = seen.groupBy("k").applyInPandas(cut_pieces, f"k {kind}, a int, b int")
-    parts = pieces.join(long.select("k", "t"), "k").select("k", "a", F.substring("t", F.col("a") + 1, F.col("b") - F.col("a")).alias("t")).repartition("k", "a")
+    pieces = seen.groupBy("k").applyInPandas(cut_pieces, f"k {kind}, a array<int>, b array<int>")
+    cut_out = F.transform(F.arrays_zip("a", "b"), lambda p: F.struct(p["a"].alias("a"), F.substring("t", p["a"] + 1, p["b"] - p["a"]).alias("t")))
+    parts = pieces.join(long.select("k", "t"), "k").select("k", F.inline(cut_out)).repartition("k", "a")
 
     def encode_parts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
