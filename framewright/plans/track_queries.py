@@ -173,7 +173,10 @@ def seq_03_block_dedup(spark, sf):
     return sq.dedup_blocks(b.blocks(spark, sf), ["ep_id"], "block_no", "start_ms", "end_ms", "combined_text", "conf")
 
 
-@query()
+@query(f"""WITH {b.BLK}, l AS (SELECT ep_id, list([{{'s': start_ms, 'e': end_ms, 't': combined_text, 'n': 1}}] ORDER BY block_no) AS x FROM blk WHERE start_ms IS NOT NULL AND end_ms IS NOT NULL GROUP BY 1),
+k AS (SELECT ep_id, unnest(list_reduce(x, lambda acc, y: CASE WHEN acc[-1].t IS NOT DISTINCT FROM y[1].t AND (acc[-1].e - acc[-1].s < 200 OR y[1].e - y[1].s < 200 OR y[1].s - acc[-1].e <= 3000)
+  THEN list_append(acc[:-2], {{'s': acc[-1].s, 'e': y[1].e, 't': acc[-1].t, 'n': acc[-1].n + 1}}) ELSE list_append(acc, y[1]) END)) AS z FROM l)
+SELECT ep_id, z.s AS start_ms, z.e AS end_ms, z.t AS combined_text, z.n AS n_merged FROM k""")
 def seq_04_artifact_merge(spark, sf):
     return sq.merge_artifacts(b.blocks(spark, sf), ["ep_id"], "block_no", "start_ms", "end_ms", "combined_text")
 
