@@ -212,7 +212,7 @@ def _infer(x: np.ndarray, p: dict, d: str) -> np.ndarray:
     return out
 
 
-def window_scores(windows: list[bytes], p: dict, block: int = 1024) -> np.ndarray:
+def window_scores(windows: list[bytes], p: dict, block: int = 2048) -> np.ndarray:
     """Summed log probabilities over the positions of each window: (len(windows), classes)."""
     out = np.zeros((len(windows), p["o"].size), np.float32)
     order = sorted(range(len(windows)), key=lambda i: len(windows[i]))
