@@ -37,8 +37,17 @@ def water_fill(weights: list[float], caps: list[float], total: float) -> list[fl
     return sizes
 
 
-def mix_plan(counted: DataFrame, targets: DataFrame, total: float | None = None) -> DataFrame:
-    """One row a source: source, target_share, max_repeats, size, wanted. ``total`` defaults to the listed sources' size.
+def unclamped_total(weights: list[float], caps: list[float]) -> float:
+    """The largest total at which every source that has anything gets its weight in full."""
+    open_ = [(w, c) for w, c in zip(weights, caps) if w > 0 and c > 0]
+    return min((c * sum(w for w, _ in open_) / w for w, c in open_), default=0.0)
+
+
+def mix_plan(counted: DataFrame, targets: DataFrame, total: float | None = None, nearest: bool = False) -> DataFrame:
+    """One row a source: source, target_share, max_repeats, size, wanted.
+
+    ``total`` defaults to the listed sources' size; with ``nearest`` to the largest one at which no source is clamped, so that
+    the shares come as near to their targets as they can.
 
     Reads one aggregated row per listed source to the driver; targets is a hand-written table (its size is checked).
     """
@@ -51,7 +60,7 @@ def mix_plan(counted: DataFrame, targets: DataFrame, total: float | None = None)
     size = [float(r["size"] or 0) for r in rows]
     weights = [max(0.0, float(r["target_share"] or 0)) for r in rows]
     caps = [s * max(0, int(r["max_repeats"] or 0)) for s, r in zip(size, rows)]
-    whole = float(total) if total is not None else sum(size)
+    whole = float(total) if total is not None else unclamped_total(weights, caps) if nearest else sum(size)
     wanted = water_fill(weights, caps, whole)
     out = [(r["source"], r["target_share"], r["max_repeats"], int(s), float(w)) for r, s, w in zip(rows, size, wanted)]
     return spark.createDataFrame(out, "source string, target_share double, max_repeats int, size bigint, wanted double")

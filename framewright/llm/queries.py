@@ -149,9 +149,9 @@ def p8_stitched_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_corpus(table(spark, sf_dir, "documents"), "doc_id", "text", vocabulary("byte_bpe_50k"), chunk_chars=500, overlap=100)
 
 
-def _mix(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def _mix(spark: SparkSession, sf_dir: str, nearest: bool = False) -> tuple[DataFrame, DataFrame]:
     counted = cut(token_counts(table(spark, sf_dir, "documents"), "doc_id", "text", vocabulary("byte_bpe_50k"), ["source"]))
-    plan = mix_plan(counted, table(spark, sf_dir, "mix_target"))
+    plan = mix_plan(counted, table(spark, sf_dir, "mix_target"), nearest=nearest)
     return sample_mix(counted, plan, "doc_id"), plan
 
 
@@ -168,6 +168,11 @@ def p9_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reached_shares(*_mix(spark, sf_dir))
 
 
+def p9_nearest_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target and reached share of each source at the largest total at which no source is clamped."""
+    return reached_shares(*_mix(spark, sf_dir, nearest=True))
+
+
 def _grades(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "reading_label").select("doc_id", F.col("reading_level").alias("grade"))
 
@@ -204,5 +209,5 @@ near AS (
 SELECT ep_id, asr_id, block_no FROM near WHERE r = 1
 """
 
-QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p3_speech": p3_speech, "p4_found": p4_found, "p4_rates": p4_rates, "p5_found": p5_found, "p5_durations": p5_durations, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p8_ids": p8_ids, "p8_stitched_ids": p8_stitched_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p10_found": p10_found, "p10_profile": p10_profile, "p10_errors": p10_errors}
+QUERIES = {"p1_found": p1_found, "p1_forms": p1_forms, "p3_found": p3_found, "p3_speech": p3_speech, "p4_found": p4_found, "p4_rates": p4_rates, "p5_found": p5_found, "p5_durations": p5_durations, "p6_found": p6_found, "p6_languages": p6_languages, "p7_found": p7_found, "p8_ids": p8_ids, "p8_stitched_ids": p8_stitched_ids, "p9_mix": p9_mix, "p9_shares": p9_shares, "p9_nearest_shares": p9_nearest_shares, "p10_found": p10_found, "p10_profile": p10_profile, "p10_errors": p10_errors}
 ORACLE_SQL = {"p7_found": P7_SQL}

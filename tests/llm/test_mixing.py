@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from framewright.llm.mixing import mix_plan, reached_shares, sample_mix, water_fill
+from framewright.llm.mixing import mix_plan, reached_shares, sample_mix, water_fill, unclamped_total
 
 
 def test_water_fill():
@@ -22,3 +22,11 @@ def test_mix(spark):
         assert r.most_repeats <= r.max_repeats and abs(r.tokens - wanted[s]) <= 11
     assert shares["none"].tokens == 0 and abs(sum(r.share for r in shares.values()) - 1) < 1e-9
     assert sample_mix(counted.limit(0), mix_plan(counted.limit(0), targets), "doc_id").count() == 0
+
+
+def test_nearest_total_clamps_no_source():
+    weights, caps = [0.5, 0.3, 0.2, 0.1], [100.0, 900.0, 10.0, 0.0]
+    total = unclamped_total(weights, caps)
+    sizes = water_fill(weights, caps, total)
+    assert abs(total - 50) < 1e-9 and [round(x, 6) for x in sizes] == [25.0, 15.0, 10.0, 0.0]
+    assert unclamped_total([1.0], [0.0]) == 0.0
