@@ -1,9 +1,10 @@
 """Text cut off by field limits (problem 4).
 
 Intact values are cut artificially to make positives; a hashed logistic regression over closing characters, punctuation,
-last words and how much more often the value's length occurs than its neighbours then scores every value. Word counts
-and length counts cover all values. The model is fitted on at most ``SAMPLE`` values in order of a seeded hash; the
-probability from which a value counts as cut lies where values that the fit did not see are rarest.
+last words and how much more often the value's length occurs than its neighbours then scores every value. Word counts,
+length counts, both models and the thresholds cover all values: two models are fitted side by side, each on the values of
+one half, by gradients summed over tasks, and a value's probability comes from the model that did not see it. The
+probability from which a value of a field counts as cut lies where those probabilities are rarest.
 
 Defined cases: null, empty and blank values are no cases; repeated keys are one record, a null key takes no part; null sources are a source of
 their own; values and words of any length are read whole; an empty table gives no rows.
@@ -11,22 +12,26 @@ their own; values and words of any length are read whole; an empty table gives n
 
 from __future__ import annotations
 
+import pickle
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from framewright.llm.sampling import bounded_sample
 from framewright.session import cut
 
-SAMPLE = 18_000  # values the model is fitted on, about; twice that at most
 DIMS = 1 << 14
 WORD_BINS = 1 << 18
-ROUNDS = 80
+ROUNDS = (80, 40, 40)  # steps of the fits; each but the first goes on from the one before, without the values taken for cut
+PIECE = 500  # records of one value that are cut in one piece
+CHUNK = 2_000  # values or cuts whose features are made at once
+GRID = 64  # steps of the logarithm of a rarity, for cuts
+PRIOR = 200  # values of all fields that a field's own are joined by when its threshold is set
 THRESHOLDS = tuple(i / 40 for i in range(6, 27))  # probabilities tried as the border of the cut
 EDGE = 1.5
 COMMON = 100.0  # per 100,000 values
@@ -76,6 +81,7 @@ def features(value: str, field: str, rarity: tuple[float, float], counts: tuple[
         f"m{mark}", f"fm{field}{mark}", f"t{tail[-2:] if not tail[-1].isalnum() else ''}", f"c{w1[:1].isupper()}{shape}{field}", f"n{min(len(w1), 9)}{shape}",
         f"k{min(len(words), 12)}{field}", f"e{escape}", f"o{opened}{shape}", f"v{shape}{bool(dots)}{field}", f"D{min(4, len(tail) - len(tail.rstrip('.')))}",
         f"z{end}{m + f > 0}{x > m + f}", f"y{end}{f > m}{f2 > m2}", f"w{end}{x > m + f}{f > m}{same > 10}",
+        f"g{field}{end}{round(g * 5)}{m > 0}", f"p{field}{end}{round(p * 5)}{round(rs * 5)}",
     ]
     index = [zlib.crc32(n.encode("utf-8", "replace")) % DIMS for n in names]
     words_end, dotted = float(shape in "lU" and not dots), float(bool(dots))
@@ -122,21 +128,6 @@ def cut_artificially(value: str, rnd: np.random.Generator, limit: int | None = N
     return None
 
 
-def fit(index: np.ndarray, numbers: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = ROUNDS) -> np.ndarray:
-    """Logistic regression by full-batch Adam; index has -1 nowhere, one column a feature."""
-    theta = np.zeros(DIMS + NUMERIC)
-    m, v = np.zeros_like(theta), np.zeros_like(theta)
-    flat = index.ravel()
-    width = index.shape[1]
-    for step in range(1, rounds + 1):
-        z = theta[index].sum(axis=1) + numbers @ theta[DIMS:]
-        err = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) * weight / weight.sum()
-        grad = np.concatenate([np.bincount(flat, np.repeat(err, width), minlength=DIMS), numbers.T @ err]) + 2e-6 * theta
-        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
-        theta -= 0.15 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
-    return theta
-
-
 def score(theta: np.ndarray, index: np.ndarray, numbers: np.ndarray) -> np.ndarray:
     z = theta[index].sum(axis=1) + numbers @ theta[DIMS:]
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
@@ -147,58 +138,132 @@ def _matrix(values, fields, rarities, counts, own=0.0) -> tuple[np.ndarray, np.n
     return np.array([i for i, _ in done], dtype=np.int64).reshape(len(done), -1), np.array([x for _, x in done], dtype=float).reshape(-1, NUMERIC)
 
 
+def rarest(near: np.ndarray) -> float:
+    """The lowest of ``THRESHOLDS`` around which there are at most ``EDGE`` times as many values as around the rarest."""
+    return next(t for t, n in zip(THRESHOLDS, near) if n <= EDGE * min(near))
+
+
+def _near(values: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    return np.array([weight[np.abs(values - t) < 0.075].sum() for t in THRESHOLDS])
+
+
 def best_threshold(values: np.ndarray) -> float:
     """The lower edge of where held-out probabilities of values are rarest, between whole values and cut ones.
 
     Cut values are few, so one that is missed weighs more than one too many: the edge is the lowest probability around which
     there are at most ``EDGE`` times as many values as around the rarest.
     """
-    near = [int((np.abs(values - t) < 0.075).sum()) for t in THRESHOLDS]
-    return next(t for t, n in zip(THRESHOLDS, near) if n <= EDGE * min(near))
+    return rarest(_near(values, np.ones(len(values))))
 
 
-def train(sample: pd.DataFrame, counts: tuple[np.ndarray, ...], per: float, seed: int = 5) -> tuple[np.ndarray, float]:
-    """The model and its threshold; fits leave out, as negatives and as material, the values that a cross-fitted model takes for cut."""
-    rnd = np.random.default_rng(seed)
-    sample = sample.sort_values(["field", "value", "src"], kind="stable")
-    values, fields = sample["value"].tolist(), sample["field"].tolist()
-    rarity = list(zip(sample["rare_chars"], sample["rare_bytes"]))
-    owner = list(zip(sample["src"], fields))
-    spikes: dict[tuple[str, str], list[tuple[int, tuple[float, float]]]] = {}
-    for v, o, r in zip(values, owner, rarity):
-        if max(r) >= 2:
-            spikes.setdefault(o, []).append((len(v), r))
-    neg = _matrix(values, fields, rarity, counts, own=per)
-    fold = rnd.integers(0, 2, len(values))
-    keep = np.ones(len(values), dtype=bool)
-    # Limits strike the longer values of a field, so those give more cuts. Cutting a cut value gives a cut value again.
-    size = pd.Series([len(v) for v in values])
-    times = 1 + 5 * (size >= size.groupby(pd.Series(fields)).transform(lambda x: x.quantile(0.75))).to_numpy()
-    material = np.repeat(np.arange(len(values)), times)
-
-    def fitted(use: np.ndarray, allowed: np.ndarray) -> np.ndarray:
-        cuts = []
-        for i in material[allowed[material]]:
-            limits = spikes.get(owner[i])
-            limit = limits[int(rnd.integers(len(limits)))] if limits and rnd.random() < 0.7 else None
-            c = cut_artificially(values[i], rnd, limit[0] if limit else None)
-            if c is not None and not stands_alone(c, counts):
-                at_limit = limit is not None and limit[0] - 2 <= len(c) <= limit[0]
-                cuts.append((c, fields[i], limit[1] if at_limit else rarity[int(rnd.integers(len(rarity)))]))
-        if not cuts:
-            return np.zeros(DIMS + NUMERIC)
-        pos = _matrix(*zip(*cuts), counts)
-        y = np.r_[np.zeros(use.sum()), np.ones(len(cuts))]
-        return fit(np.vstack([neg[0][use], pos[0]]), np.vstack([neg[1][use], pos[1]]), y, np.where(y == 1, use.sum() / len(cuts), 1.0))
-
-    threshold = 0.5
-    for _ in range(2):
-        p = np.zeros(len(values))
-        for k in (0, 1):
-            p[fold == k] = score(fitted(keep & (fold != k), fold != k), neg[0][fold == k], neg[1][fold == k])
-        threshold = best_threshold(p)
-        keep = p < threshold
-    return fitted(keep, np.ones(len(values), dtype=bool)), threshold
+def half(value: str, field: str) -> int:
+    """The half of all values that a value belongs to, under any source; the model of the other half rates it."""
+    return zlib.crc32(f"{field}\n{value}".encode("utf-8", "replace")) >> 7 & 1
+
+
+Pairs = tuple[np.ndarray, np.ndarray]  # pairs of rarities and their cumulative numbers of records
+
+
+def _drawn(upto: np.ndarray, rnd: np.random.Generator) -> int:
+    return int(np.searchsorted(upto, rnd.integers(upto[-1]), side="right"))
+
+
+def cuts_of(value: str, draws: int, rnd: np.random.Generator, limits: tuple[np.ndarray, Pairs] | None, rarities: Pairs, counts: tuple[np.ndarray, ...]) -> list[tuple[str, tuple[float, float], int]]:
+    """``draws`` artificial cuts of a value, equal ones once: (cut, rarity, number)."""
+    got: dict[tuple[str, int], int] = {}
+    able = int(np.searchsorted(limits[0], len(value))) if limits else 0  # limits below the value's length
+    for _ in range(draws):
+        i = _drawn(limits[1][1][:able], rnd) if able and rnd.random() < 0.7 else -1
+        c = cut_artificially(value, rnd, int(limits[0][i]) if i >= 0 else None)
+        if c is not None:
+            at_limit = i >= 0 and limits[0][i] - 2 <= len(c) <= limits[0][i]
+            key = (c, i if at_limit else -1)
+            got[key] = got.get(key, 0) + 1
+    kept = [(c, i, n) for (c, i), n in got.items() if not stands_alone(c, counts)]
+    return [(c, tuple(limits[1][0][i] if i >= 0 else rarities[0][_drawn(rarities[1], rnd)]), n) for c, i, n in kept]
+
+
+def _totals(blocks: RDD, of: Callable[[dict], np.ndarray], size: int) -> np.ndarray:
+    """The sum over all blocks of ``of``; only what is not zero travels."""
+
+    def part(rows: Iterator[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        total = np.zeros(size)
+        for b in rows:
+            total += of(pickle.loads(b))
+        at = np.flatnonzero(total)
+        yield at, total[at]
+
+    out = np.zeros(size)
+    for at, x in blocks.mapPartitions(part).collect():
+        out[at] += x
+    return out
+
+
+def held_out(block: dict, theta: np.ndarray) -> np.ndarray:
+    """Each row's probability by the model that did not see its half."""
+    p = np.zeros(len(block["half"]))
+    for k in (0, 1):
+        of = block["half"] == k
+        p[of] = score(theta[k], block["index"][of], block["numbers"][of])
+    return p
+
+
+def gradient(block: dict, theta: np.ndarray) -> np.ndarray:
+    """For both models the sums over negatives and positives of the other half: gradient, then weight."""
+    out = np.zeros((2, 2, DIMS + NUMERIC + 1))
+    for k in (0, 1):
+        for y in (0, 1):
+            use = (block["half"] != k) & (block["y"] == y) & block["keep"]
+            index, numbers, weight = block["index"][use], block["numbers"][use], block["weight"][use]
+            err = (score(theta[k], index, numbers) - y) * weight
+            out[k, y, :DIMS] = np.bincount(index.ravel(), np.repeat(err, index.shape[1]), minlength=DIMS)
+            out[k, y, DIMS:-1] = numbers.T @ err
+            out[k, y, -1] = weight.sum()
+    return out.ravel()
+
+
+def train(blocks: RDD, fields: list[str]) -> tuple[np.ndarray, dict[str, float]]:
+    """Two logistic regressions by full-batch Adam over all blocks, one for each half, and the threshold of each field.
+
+    Negatives and cuts weigh the same. Values that the model of the other half takes for cut are no negatives in the next fit.
+    """
+    theta = np.zeros((2, DIMS + NUMERIC))
+    thresholds = dict.fromkeys(fields, 2.0)  # without any cut nothing can be told
+    all_blocks = marked = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    for rounds in ROUNDS:
+        m, v = np.zeros_like(theta), np.zeros_like(theta)
+        for step in range(1, rounds + 1):
+            now = theta
+            sums = _totals(marked, lambda b: gradient(b, now), 4 * (DIMS + NUMERIC + 1)).reshape(2, 2, -1)  # noqa: B023
+            if not sums[:, 1, -1].any():
+                return theta, thresholds
+            grad = (sums[:, :, :-1] / np.maximum(sums[:, :, -1:], 1e-9)).sum(axis=1) / 2 + 2e-6 * theta
+            m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
+            theta = theta - 0.15 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
+        done, tried = theta, len(THRESHOLDS) + 1
+
+        def near(b: dict, done: np.ndarray = done, tried: int = tried) -> np.ndarray:
+            p, values = held_out(b, done), b["y"] == 0
+            out = np.zeros((len(fields), tried))
+            for i in range(len(fields)):
+                of = values & (b["field"] == i)
+                out[i] = np.r_[_near(p[of], b["weight"][of]), b["weight"][of].sum()]
+            return out.ravel()
+
+        around = _totals(all_blocks, near, len(fields) * tried).reshape(len(fields), tried)
+        joined = around.sum(axis=0)
+        thresholds = {f: rarest(x[:-1] + PRIOR * joined[:-1] / max(1.0, joined[-1])) for f, x in zip(fields, around)}
+
+        def mark(b: bytes, done: np.ndarray = done, limit: np.ndarray = np.array([thresholds[f] for f in fields])) -> bytes:
+            block = pickle.loads(b)
+            return pickle.dumps(block | {"keep": (block["y"] == 1) | (held_out(block, done) < limit[block["field"]])})
+
+        if marked is not all_blocks:
+            marked.unpersist()
+        marked = all_blocks.map(mark).persist(StorageLevel.MEMORY_AND_DISK)
+    marked.unpersist()
+    all_blocks.unpersist()
+    return theta, thresholds
 
 
 def prefix_bins(words: pd.Series) -> pd.Series:
@@ -214,7 +279,7 @@ def prefix_bins(words: pd.Series) -> pd.Series:
     return words.map(of)
 
 
-def find_truncated(df: DataFrame, key: str, source: str, fields: list[str], sample: int = SAMPLE) -> DataFrame:
+def find_truncated(df: DataFrame, key: str, source: str, fields: list[str]) -> DataFrame:
     """``key``, source, field_name, value, probability and is_cut for every non-blank value of ``fields``."""
     kind = dict(df.dtypes)[key]
     rows = df.select(F.col(key).alias("k"), F.coalesce(F.col(source), F.lit("")).alias("src"), *[F.col(f).alias(f"f_{i}") for i, f in enumerate(fields)]).filter("k is not null").dropDuplicates(["k"])
@@ -251,17 +316,66 @@ def find_truncated(df: DataFrame, key: str, source: str, fields: list[str], samp
     longer[got["bin"]] = got["x"]
     per = np.float32(1e5 / max(1, known.count()))  # counts per 100,000 values
     middle, final, longer = middle * per, final * per, longer * per
-    fitted = known.select("k", "src", "field", "value", "rare_chars", "rare_bytes").transform(bounded_sample, ["k", "field"], sample).toPandas()
-    theta, threshold = train(fitted, (middle, final, longer), float(per)) if len(fitted) else (np.zeros(DIMS + NUMERIC), 0.5)
-    shared = df.sparkSession.sparkContext.broadcast((theta.astype(np.float32), middle, final, longer))  # fixed size
+    counts = (middle, final, longer)
+    spark = df.sparkSession
+
+    # Rarities of all values on a grid, and the lengths of a field that are frequent in a source: a limit of one source shows in the longer values of others.
+    grid = lambda c: F.round(F.log1p(c) * GRID).cast("int")
+    pair = known.select("src", "field", "chars", F.greatest("rare_chars", "rare_bytes").alias("most"), grid("rare_chars").alias("a"), grid("rare_bytes").alias("b"))
+    back = lambda t: np.expm1(t[["a", "b"]].to_numpy(dtype=float) / GRID)
+    every = pair.groupBy("a", "b").count().toPandas().sort_values(["a", "b"])  # at most a grid
+    rarities = back(every), every["count"].cumsum().to_numpy()
+    often = pair.filter("most >= 2").groupBy("field", "chars", "a", "b").count().toPandas().sort_values(["chars", "a", "b"])
+    limits = {o: (t["chars"].to_numpy(), (back(t), t["count"].cumsum().to_numpy())) for o, t in often.groupby("field")}
+    # Limits strike the longer values of a field, so those give more cuts. Cutting a cut value gives a cut value again.
+    long = {r.field: r.chars for r in known.groupBy("field").agg(F.percentile("chars", F.lit(0.75)).alias("chars")).collect()}
+    shared = spark.sparkContext.broadcast((counts, rarities, limits))  # the counts of fixed size, a row a frequent length of a field
+
+    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts, rarities, limits = shared.value
+
+        def packed(rows: list[tuple], y: int) -> pd.DataFrame:
+            value, field, rare, n, side = zip(*rows)
+            index, numbers = _matrix(value, field, rare, counts, 0.0 if y else float(per))
+            block = {"index": index.astype(np.int16), "numbers": numbers.astype(np.float32), "weight": np.array(n, dtype=float), "half": np.array(side, dtype=np.int8), "y": np.full(len(rows), y, np.int8)}
+            block |= {"field": np.array([fields.index(f) for f in field], dtype=np.int16), "keep": np.ones(len(rows), dtype=bool)}
+            return pd.DataFrame({"block": [pickle.dumps(block)]})
+
+        values, cuts = [], []
+        for b in batches:
+            for src, field, value, chars, nbytes, n, piece in b[["src", "field", "value", "rare_chars", "rare_bytes", "n", "piece"]].itertuples(index=False):
+                side = half(value, field)
+                if piece == 0:
+                    values.append((value, field, (chars, nbytes), n, side))
+                rnd = np.random.default_rng(zlib.crc32(f"{piece}\n{src}\n{field}\n{value}".encode("utf-8", "replace")))
+                draws = min(PIECE, n - piece * PIECE) * (6 if len(value) >= long[field] else 1)
+                cuts += [(c, field, r, k, side) for c, r, k in cuts_of(value, draws, rnd, limits.get(field), rarities, counts)]
+                for rows, y in ((values, 0), (cuts, 1)):
+                    while len(rows) >= CHUNK:
+                        yield packed(rows[:CHUNK], y)
+                        del rows[:CHUNK]
+        for rows, y in ((values, 0), (cuts, 1)):
+            if rows:
+                yield packed(rows, y)
+
+    alike = known.groupBy("src", "field", "value", "rare_chars", "rare_bytes").agg(F.count(F.lit(1)).alias("n"))
+    pieces = alike.select("*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("n") - 1) / PIECE))).alias("piece"))
+    packs = cut(pieces.mapInPandas(blocks, "block binary"))
+    theta, thresholds = train(packs.rdd.map(lambda r: bytes(r.block)), fields)
+    model = spark.sparkContext.broadcast((theta, thresholds))  # fixed size
 
     def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        t, *counts = shared.value
+        theta, thresholds = model.value
+        counts = shared.value[0]
         for b in batches:
             if len(b):
-                matrix = _matrix(b["value"], b["field"], list(zip(b["rare_chars"], b["rare_bytes"])), tuple(counts), float(per))
-                p = score(t.astype(float), *matrix)
-                yield pd.DataFrame({"k": b["k"], "src": b["src"], "field_name": b["field"], "value": b["value"], "probability": p, "is_cut": p >= threshold})
+                same = ["field", "value", "rare_chars", "rare_bytes"]
+                of = b.groupby(same, sort=False).ngroup().to_numpy()
+                one = b[same].drop_duplicates()
+                index, numbers = _matrix(one["value"], one["field"], list(zip(one["rare_chars"], one["rare_bytes"])), counts, float(per))
+                side = np.array([half(x, f) for x, f in zip(one["value"], one["field"])])
+                p = held_out({"index": index, "numbers": numbers.astype(np.float32), "half": side}, theta)[of]
+                yield pd.DataFrame({"k": b["k"], "src": b["src"], "field_name": b["field"], "value": b["value"], "probability": p, "is_cut": p >= b["field"].map(thresholds).to_numpy()})
 
     rated = known.select("k", "src", "field", "value", "rare_chars", "rare_bytes").mapInPandas(rate, f"k {kind}, src string, field_name string, value string, probability double, is_cut boolean")
     return rated.withColumnRenamed("k", key).withColumnRenamed("src", source)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pickle
 import random
 
 import numpy as np
@@ -48,3 +49,29 @@ def test_whole_values_are_read():
     counts = tuple(np.zeros(WORD_BINS, dtype=np.float32) for _ in range(3))
     open_early = "<a " + "x" * 200
     assert features(open_early, "f", (0.0, 0.0), counts) != features(open_early[3:], "f", (0.0, 0.0), counts)
+
+
+def test_training_counts_every_value(spark):
+    # 30,000 values are more than any former fitting sample; the totals of the first gradient are those of all of them.
+    from framewright.llm import truncation
+
+    seen = []
+    whole = truncation.train
+
+    def spy(blocks, fields):
+        seen.extend(pickle.loads(b) for b in blocks.collect())
+        return np.zeros((2, truncation.DIMS + truncation.NUMERIC * 2)), dict.fromkeys(fields, 2.0)
+
+    rows = [(k, "s", f"Nobody expected the housekeeper {k % 7000} to understand contracts.") for k in range(30_000)]
+    truncation.train = spy
+    try:
+        find_truncated(spark.createDataFrame(rows, "id long, src string, body string"), "id", "src", ["body"])
+    finally:
+        truncation.train = whole
+    assert sum(b["weight"][b["y"] == 0].sum() for b in seen) == 30_000
+    assert sum(b["weight"][b["y"] == 1].sum() for b in seen) >= 25_000
+
+
+def test_nothing_to_cut_means_no_cuts(spark):
+    rows = [(k, "s", "Now") for k in range(50)]
+    assert find_truncated(spark.createDataFrame(rows, "id long, src string, body string"), "id", "src", ["body"]).filter("is_cut").count() == 0
