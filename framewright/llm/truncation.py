@@ -27,6 +27,7 @@ from framewright.session import cut
 
 DIMS = 1 << 14
 WORD_BINS = 1 << 18
+CUTS = 3.0  # what all cuts weigh against all values: many values taken for whole are cut ones, and a missed one weighs more
 ROUNDS = (80, 40, 40)  # steps of the fits; each but the first goes on from the one before, without the values taken for cut
 PIECE = 500  # records of one value that are cut in one piece
 CHUNK = 2_000  # values or cuts whose features are made at once
@@ -133,6 +134,12 @@ def score(theta: np.ndarray, index: np.ndarray, numbers: np.ndarray) -> np.ndarr
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def by_field(block: dict, fields: int) -> np.ndarray:
+    """The numeric features, for all fields and then for each field."""
+    own = [block["numbers"] * (block["field"] == i)[:, None] for i in range(fields)]
+    return np.concatenate([block["numbers"], *own], axis=1)
+
+
 def _matrix(values, fields, rarities, counts, own=0.0) -> tuple[np.ndarray, np.ndarray]:
     done = [features(v, f, r, counts, own) for v, f, r in zip(values, fields, rarities)]
     return np.array([i for i, _ in done], dtype=np.int64).reshape(len(done), -1), np.array([x for _, x in done], dtype=float).reshape(-1, NUMERIC)
@@ -202,19 +209,23 @@ def _totals(blocks: RDD, of: Callable[[dict], np.ndarray], size: int) -> np.ndar
 def held_out(block: dict, theta: np.ndarray) -> np.ndarray:
     """Each row's probability by the model that did not see its half."""
     p = np.zeros(len(block["half"]))
+    numbers = by_field(block, (theta.shape[1] - DIMS) // NUMERIC - 1)
     for k in (0, 1):
         of = block["half"] == k
-        p[of] = score(theta[k], block["index"][of], block["numbers"][of])
+        p[of] = score(theta[k], block["index"][of], numbers[of])
     return p
 
 
 def gradient(block: dict, theta: np.ndarray) -> np.ndarray:
-    """For both models the sums over negatives and positives of the other half: gradient, then weight."""
-    out = np.zeros((2, 2, DIMS + NUMERIC + 1))
+    """For both models the sums over negatives and positives of the other half: gradient, then weight. Common complete clauses are seen by both."""
+    out = np.zeros((2, 2, theta.shape[1] + 1))
+    every = by_field(block, (theta.shape[1] - DIMS) // NUMERIC - 1)
     for k in (0, 1):
         for y in (0, 1):
-            use = (block["half"] != k) & (block["y"] == y) & block["keep"]
-            index, numbers, weight = block["index"][use], block["numbers"][use], block["weight"][use]
+            use = ((block["half"] != k) | block["common"]) & (block["y"] == y) & block["keep"]
+            index, numbers, weight = block["index"][use], every[use], block["weight"][use]
+            if not len(weight):
+                continue
             err = (score(theta[k], index, numbers) - y) * weight
             out[k, y, :DIMS] = np.bincount(index.ravel(), np.repeat(err, index.shape[1]), minlength=DIMS)
             out[k, y, DIMS:-1] = numbers.T @ err
@@ -225,19 +236,20 @@ def gradient(block: dict, theta: np.ndarray) -> np.ndarray:
 def train(blocks: RDD, fields: list[str]) -> tuple[np.ndarray, dict[str, float]]:
     """Two logistic regressions by full-batch Adam over all blocks, one for each half, and the threshold of each field.
 
-    Negatives and cuts weigh the same. Values that the model of the other half takes for cut are no negatives in the next fit.
+    Values that the model of the other half takes for cut are no negatives in the next fit, except common complete clauses.
     """
-    theta = np.zeros((2, DIMS + NUMERIC))
+    size = DIMS + NUMERIC * (1 + len(fields))
+    theta, share = np.zeros((2, size)), np.array([1.0, CUTS])[:, None] / (1 + CUTS)
     thresholds = dict.fromkeys(fields, 2.0)  # without any cut nothing can be told
     all_blocks = marked = blocks.persist(StorageLevel.MEMORY_AND_DISK)
     for rounds in ROUNDS:
         m, v = np.zeros_like(theta), np.zeros_like(theta)
         for step in range(1, rounds + 1):
             now = theta
-            sums = _totals(marked, lambda b: gradient(b, now), 4 * (DIMS + NUMERIC + 1)).reshape(2, 2, -1)  # noqa: B023
+            sums = _totals(marked, lambda b: gradient(b, now), 4 * (size + 1)).reshape(2, 2, -1)  # noqa: B023
             if not sums[:, 1, -1].any():
                 return theta, thresholds
-            grad = (sums[:, :, :-1] / np.maximum(sums[:, :, -1:], 1e-9)).sum(axis=1) / 2 + 2e-6 * theta
+            grad = (share * sums[:, :, :-1] / np.maximum(sums[:, :, -1:], 1e-9)).sum(axis=1) + 2e-6 * theta
             m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
             theta = theta - 0.15 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-9)
         done, tried = theta, len(THRESHOLDS) + 1
@@ -256,7 +268,7 @@ def train(blocks: RDD, fields: list[str]) -> tuple[np.ndarray, dict[str, float]]
 
         def mark(b: bytes, done: np.ndarray = done, limit: np.ndarray = np.array([thresholds[f] for f in fields])) -> bytes:
             block = pickle.loads(b)
-            return pickle.dumps(block | {"keep": (block["y"] == 1) | (held_out(block, done) < limit[block["field"]])})
+            return pickle.dumps(block | {"keep": (block["y"] == 1) | block["common"] | (held_out(block, done) < limit[block["field"]])})
 
         if marked is not all_blocks:
             marked.unpersist()
@@ -339,6 +351,7 @@ def find_truncated(df: DataFrame, key: str, source: str, fields: list[str]) -> D
             index, numbers = _matrix(value, field, rare, counts, 0.0 if y else float(per))
             block = {"index": index.astype(np.int16), "numbers": numbers.astype(np.float32), "weight": np.array(n, dtype=float), "half": np.array(side, dtype=np.int8), "y": np.full(len(rows), y, np.int8)}
             block |= {"field": np.array([fields.index(f) for f in field], dtype=np.int16), "keep": np.ones(len(rows), dtype=bool)}
+            block["common"] = np.array([not y and stands_alone(v, counts) for v in value])
             return pd.DataFrame({"block": [pickle.dumps(block)]})
 
         values, cuts = [], []
@@ -374,7 +387,8 @@ def find_truncated(df: DataFrame, key: str, source: str, fields: list[str]) -> D
                 one = b[same].drop_duplicates()
                 index, numbers = _matrix(one["value"], one["field"], list(zip(one["rare_chars"], one["rare_bytes"])), counts, float(per))
                 side = np.array([half(x, f) for x, f in zip(one["value"], one["field"])])
-                p = held_out({"index": index, "numbers": numbers.astype(np.float32), "half": side}, theta)[of]
+                at = np.array([fields.index(f) for f in one["field"]])
+                p = held_out({"index": index, "numbers": numbers.astype(np.float32), "half": side, "field": at}, theta)[of]
                 yield pd.DataFrame({"k": b["k"], "src": b["src"], "field_name": b["field"], "value": b["value"], "probability": p, "is_cut": p >= b["field"].map(thresholds).to_numpy()})
 
     rated = known.select("k", "src", "field", "value", "rare_chars", "rare_bytes").mapInPandas(rate, f"k {kind}, src string, field_name string, value string, probability double, is_cut boolean")

@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pandas as pd
 
-from framewright.llm.truncation import THRESHOLDS, WORD_BINS, best_threshold, features, find_truncated, prefix_bins, word_bin
+from framewright.llm.truncation import DIMS, NUMERIC, THRESHOLDS, WORD_BINS, best_threshold, cuts_of, features, find_truncated, gradient, prefix_bins, word_bin
 
 
 def test_held_out_cuts(spark):
@@ -75,3 +75,19 @@ def test_training_counts_every_value(spark):
 def test_nothing_to_cut_means_no_cuts(spark):
     rows = [(k, "s", "Now") for k in range(50)]
     assert find_truncated(spark.createDataFrame(rows, "id long, src string, body string"), "id", "src", ["body"]).filter("is_cut").count() == 0
+
+
+def test_limits_of_other_sources_strike():
+    counts = tuple(np.zeros(WORD_BINS, dtype=np.float32) for _ in range(3))
+    pairs = (np.array([[9.0, 9.0]]), np.array([5]))
+    got = cuts_of("Share all chapters without interruptions", 200, np.random.default_rng(1), (np.array([25]), pairs), (np.zeros((1, 2)), np.array([1])), counts)
+    at = sum(n for c, r, n in got if len(c) in (23, 24, 25) and r == (9.0, 9.0))
+    assert at >= 80 and sum(n for *_, n in got) >= 180
+
+
+def test_common_clauses_teach_both_models_and_fields_have_own_weights():
+    one = {"index": np.zeros((2, 1), np.int16), "numbers": np.ones((2, NUMERIC), np.float32), "weight": np.ones(2), "half": np.zeros(2, np.int8)}
+    block = one | {"y": np.zeros(2, np.int8), "field": np.array([0, 1]), "keep": np.ones(2, bool), "common": np.array([True, False])}
+    sums = gradient(block, np.zeros((2, DIMS + 3 * NUMERIC))).reshape(2, 2, -1)
+    assert sums[0, 0, -1] == 1 and sums[1, 0, -1] == 2
+    assert sums[0, 0, DIMS + NUMERIC : DIMS + 2 * NUMERIC].all() and not sums[0, 0, DIMS + 2 * NUMERIC : -1].any()
