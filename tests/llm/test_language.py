@@ -149,3 +149,17 @@ def test_unseen_phrases(spark):
     assert {"strict", "off", "wrong"} <= set(net) and len(net["off"]) == language.CANDIDATES
     said = {r.doc_id: r.found_lang for r in got.filter("para_no = 0").collect()}
     assert sum(said[1000 + k] == lang for k, (lang, t) in enumerate(data) if 1000 + k in said) >= 0.9 * len(rest)
+
+
+def test_window_scores_without_the_largest_and_with_it():
+    # Scores of large output weights take the largest score away first; both ways give log probabilities of the positions.
+    for scale in (1.0, 400.0):
+        p = gru.init(6, 3)
+        p["W"] *= np.float32(scale)
+        ws = [b"hello", b"some longer words", b"z"]
+        x = gru.pack(ws)
+        q = gru.position_logits(x, p).astype(np.float64)
+        q -= q.max(axis=2, keepdims=True)
+        q -= np.log(np.exp(q).sum(axis=2, keepdims=True))
+        q[x == gru.PAD] = 0
+        assert np.allclose(gru.window_scores(ws, p), q.sum(axis=0), rtol=1e-4, atol=1e-3)
