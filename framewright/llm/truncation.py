@@ -351,7 +351,7 @@ def find_truncated(df: DataFrame, key: str, source: str, fields: list[str]) -> D
             index, numbers = _matrix(value, field, rare, counts, 0.0 if y else float(per))
             block = {"index": index.astype(np.int16), "numbers": numbers.astype(np.float32), "weight": np.array(n, dtype=float), "half": np.array(side, dtype=np.int8), "y": np.full(len(rows), y, np.int8)}
             block |= {"field": np.array([fields.index(f) for f in field], dtype=np.int16), "keep": np.ones(len(rows), dtype=bool)}
-            block["common"] = np.array([not y and stands_alone(v, counts) for v in value])
+            block["common"] = np.array([not y and (stands_alone(v, counts) or counts[1][word_bin("\n" + last_clause(v))] > max(COMMON, 20 * per)) for v in value])
             return pd.DataFrame({"block": [pickle.dumps(block)]})
 
         values, cuts = [], []
